@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,3 +26,13 @@ def duplicate_count(
 def undated(df: DataFrame, day: str = "local_date") -> DataFrame:
     """One row: how many records have no date and so reach no daily table."""
     return df.agg(F.count_if(F.col(day).isNull()).alias("undated_rows"))
+
+
+def undated_by_table(raw: Mapping[str, DataFrame], day: str = "local_date") -> DataFrame:
+    """The same count for each raw table that has a date."""
+    counts = [
+        undated(df, day).select(F.lit(table).alias("source_table"), "undated_rows")
+        for table, df in raw.items()
+        if day in df.columns
+    ]
+    return reduce(DataFrame.unionByName, counts)

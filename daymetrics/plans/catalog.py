@@ -26,13 +26,14 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def raw(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return sample.bronze(spark, sf_dir)[table]
+raw = sample.table
 
 
 def sleep_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    tabs = sample.bronze(spark, sf_dir)
-    return tabs["sleep_session_record_table"], tabs["sleep_stages_table"]
+    return (
+        raw(spark, sf_dir, "sleep_session_record_table"),
+        raw(spark, sf_dir, "sleep_stages_table"),
+    )
 
 
 def gold_plan(spark: SparkSession, sf_dir: str, keys=KEYS) -> DataFrame:
@@ -278,7 +279,7 @@ def gold_duplicate_count(spark, sf_dir):
 
 @query
 def undated_rows(spark, sf_dir):
-    return quality.undated(raw(spark, sf_dir, "oxygen_saturation_record_table"))
+    return quality.undated_by_table(sample.bronze(spark, sf_dir))
 
 
 # --- week ------------------------------------------------------------------------------

@@ -19,10 +19,11 @@ STATUS = "layer STRING, table_name STRING, rows BIGINT, error STRING"
 
 @dataclass(frozen=True)
 class Result:
-    """What a run leaves: a status row per table, days with duplicates, the report per key."""
+    """What a run leaves: a status row per table, the checks, the report per key."""
 
     status: DataFrame
     duplicates: DataFrame
+    undated: DataFrame
     report: DataFrame
 
 
@@ -59,6 +60,8 @@ def run(
     status += [("bronze", r.source_table, r.rows, r.error) for r in loaded]
     check()
     raw = bronze.read(spark, target)
+    if not raw:
+        raise RuntimeError("no raw table has been loaded yet")
 
     def store(layer: str, table: str, make: Callable[[], DataFrame]):
         try:
@@ -86,6 +89,7 @@ def run(
     return Result(
         spark.createDataFrame(status, STATUS),
         quality.duplicate_keys(daily, keys),
+        quality.undated_by_table(raw),
         tables.read(spark, target, "report", "weekly"),
     )
 

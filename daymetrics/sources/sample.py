@@ -7,99 +7,94 @@ so another engine derives the same rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 AS_OF = "2024-02-05"
 KEYS = ["user_id"]
-DAY_MS = 86_400_000
-# Shorter sessions are recorded without stages.
-MIN_STAGED_MS = 3_600_000
-# Stage code and its percentage of the session.
-STAGE_SHARES = {1: 5, 2: 5, 4: 50, 5: 20, 6: 20}
+START = "local_date * 86400000"
+# Sessions shorter than an hour are recorded without stages.
+STAGED = "end_time - start_time >= 3600000"
+# (stage code, its percentage of the session)
+STAGE_SHARES = "array(struct(1, 5), struct(2, 5), struct(4, 50), struct(5, 20), struct(6, 20))"
+
+SESSION = [
+    "event_id AS row_id",
+    "user_id",
+    "local_date",
+    "app_info_id",
+    f"{START} AS start_time",
+    f"{START} + cv * 6000 AS end_time",
+]
+# Table -> (kinds of event it takes, columns).
+TABLES = {
+    "sleep_session_record_table": (["signup"], SESSION),
+    "steps_record_table": (
+        ["view"],
+        ["user_id", "local_date", "app_info_id", "if(cv % 11 = 0, 0, cv) AS count"],
+    ),
+    "active_calories_burned_record_table": (
+        ["click"],
+        ["user_id", "local_date", "app_info_id", "CAST(cv * 97 AS DOUBLE) AS energy"],
+    ),
+    "exercise_session_record_table": (
+        ["purchase"],
+        [
+            "user_id",
+            "local_date",
+            "CASE event_id % 5 WHEN 0 THEN 45 WHEN 1 THEN 53 WHEN 2 THEN 58 WHEN 3 THEN 5 ELSE 99 END"
+            " AS exercise_type",
+            f"{START} AS start_time",
+            f"{START} + cv * 600 AS end_time",
+        ],
+    ),
+    "resting_heart_rate_record_table": (
+        ["error"],
+        ["user_id", "local_date", "40 + cv % 90 AS beats_per_minute"],
+    ),
+    "oxygen_saturation_record_table": (
+        ["error", "view"],
+        ["user_id", "local_date", "CAST(80 + cv % 21 AS DOUBLE) AS percentage"],
+    ),
+    "weight_record_table": (
+        ["click"],
+        ["event_id AS row_id", "user_id", "local_date", "CAST(60000 + cv % 30000 AS DOUBLE) AS weight"],
+    ),
+}
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cents = F.floor(F.col("value") * 100 + F.lit(0.5)).cast("long")
-    day = F.unix_date(F.col("ts").cast("date")).cast("long")
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
         "event_id",
         "user_id",
         "event_type",
-        day.alias("local_date"),
-        cents.alias("cv"),
-        F.when(F.col("event_id") % 5 == 0, 2).otherwise(4).alias("app_info_id"),
+        "CAST(unix_date(CAST(ts AS DATE)) AS BIGINT) AS local_date",
+        "CAST(floor(value * 100 + 0.5D) AS BIGINT) AS cv",
+        "if(event_id % 5 = 0, 2, 4) AS app_info_id",
     )
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    ev = events(spark, sf_dir)
-
-    def kind(*names: str) -> DataFrame:
-        return ev.where(F.col("event_type").isin(*names))
-
-    day_start = F.col("local_date") * DAY_MS
-    sessions = kind("signup").select(
-        F.col("event_id").alias("row_id"),
-        "user_id",
-        "local_date",
-        "app_info_id",
-        day_start.alias("start_time"),
-        (day_start + F.col("cv") * 6000).alias("end_time"),
-    )
-    length = F.col("end_time") - F.col("start_time")
-    shares = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(code).alias("stage_type"), F.lit(pct).alias("pct"))
-                for code, pct in STAGE_SHARES.items()
-            ]
-        )
-    )
-    stages = (
-        sessions.where(length >= MIN_STAGED_MS)
-        .select("row_id", "user_id", "start_time", length.alias("ms"), shares.alias("share"))
-        .select(
-            F.col("row_id").alias("parent_key"),
+def _derive(events: DataFrame, table: str) -> DataFrame:
+    if table != "sleep_stages_table":
+        kinds, columns = TABLES[table]
+        wanted = ", ".join(f"'{k}'" for k in kinds)
+        return events.where(f"event_type IN ({wanted})").selectExpr(*columns)
+    return (
+        _derive(events, "sleep_session_record_table")
+        .where(STAGED)
+        .selectExpr("*", f"inline({STAGE_SHARES}) AS (stage_type, pct)")
+        .selectExpr(
+            "row_id AS parent_key",
             "user_id",
-            "share.stage_type",
-            F.col("start_time").alias("stage_start_time"),
-            (F.col("start_time") + F.expr("ms * share.pct DIV 100")).alias("stage_end_time"),
+            "stage_type",
+            "start_time AS stage_start_time",
+            "start_time + (end_time - start_time) * pct DIV 100 AS stage_end_time",
         )
     )
-    cv = F.col("cv")
-    kinds = {0: 45, 1: 53, 2: 58, 3: 5}
-    code = F.lit(99)
-    for rest, exercise_type in kinds.items():
-        code = F.when(F.col("event_id") % 5 == rest, exercise_type).otherwise(code)
-    return {
-        "sleep_session_record_table": sessions,
-        "sleep_stages_table": stages,
-        "steps_record_table": kind("view").select(
-            "user_id",
-            "local_date",
-            "app_info_id",
-            F.when(cv % 11 == 0, 0).otherwise(cv).alias("count"),
-        ),
-        "active_calories_burned_record_table": kind("click").select(
-            "user_id", "local_date", "app_info_id", (cv * 97).cast("double").alias("energy")
-        ),
-        "exercise_session_record_table": kind("purchase").select(
-            "user_id",
-            "local_date",
-            code.alias("exercise_type"),
-            day_start.alias("start_time"),
-            (day_start + cv * 600).alias("end_time"),
-        ),
-        "resting_heart_rate_record_table": kind("error").select(
-            "user_id", "local_date", (F.lit(40) + cv % 90).alias("beats_per_minute")
-        ),
-        "oxygen_saturation_record_table": kind("error", "view").select(
-            "user_id", "local_date", (F.lit(80) + cv % 21).cast("double").alias("percentage")
-        ),
-        "weight_record_table": kind("click").select(
-            F.col("event_id").alias("row_id"),
-            "user_id",
-            "local_date",
-            (F.lit(60000) + cv % 30000).cast("double").alias("weight"),
-        ),
-    }
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return _derive(_events(spark, sf_dir), name)
+
+
+def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    events = _events(spark, sf_dir)
+    return {name: _derive(events, name) for name in [*TABLES, "sleep_stages_table"]}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -49,3 +49,9 @@ def overwrite(
     if not fs.rename(_filesystem(spark, staged)[1], target):
         raise OSError(f"could not move {staged} to {final}")
     return counted.get["rows"]
+
+
+def as_views(frames: Mapping[str, DataFrame], prefix: str = "") -> None:
+    """Offer the frames to SQL under their names, for instance silver_steps."""
+    for name, df in frames.items():
+        df.createOrReplaceTempView(prefix + name)

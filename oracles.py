@@ -270,18 +270,24 @@ def of_report(select: str) -> str:
     return over(RAW, SILVER, GOLD, WEEK, REPORT, select=select)
 
 
+RAW_TABLES = {
+    "sleep_session_record_table": "sleep_session",
+    "sleep_stages_table": "sleep_stages",
+    "steps_record_table": "steps",
+    "active_calories_burned_record_table": "active_calories",
+    "exercise_session_record_table": "exercise",
+    "resting_heart_rate_record_table": "resting_hr",
+    "oxygen_saturation_record_table": "spo2",
+    "weight_record_table": "weight",
+}
 RAW_COUNTS = " UNION ALL ".join(
     f"SELECT '{name}' AS source_table, COUNT(*) AS rows FROM {cte}"
-    for name, cte in {
-        "sleep_session_record_table": "sleep_session",
-        "sleep_stages_table": "sleep_stages",
-        "steps_record_table": "steps",
-        "active_calories_burned_record_table": "active_calories",
-        "exercise_session_record_table": "exercise",
-        "resting_heart_rate_record_table": "resting_hr",
-        "oxygen_saturation_record_table": "spo2",
-        "weight_record_table": "weight",
-    }.items()
+    for name, cte in RAW_TABLES.items()
+)
+UNDATED = " UNION ALL ".join(
+    f"SELECT '{name}' AS source_table, COUNT(*) FILTER (local_date IS NULL) AS undated_rows FROM {cte}"
+    for name, cte in RAW_TABLES.items()
+    if name != "sleep_stages_table"
 )
 LAYER_COUNTS = " UNION ALL ".join(
     f"SELECT '{layer}', '{name}', COUNT(*) FROM {cte}"
@@ -403,9 +409,7 @@ ORACLES: dict[str, str] = {
         """SELECT COUNT(*) AS duplicate_days FROM (
   SELECT user_id, local_date, COUNT(*) AS cnt FROM gold GROUP BY user_id, local_date HAVING cnt > 1)"""
     ),
-    "undated_rows": over(
-        RAW, select="SELECT COUNT(*) FILTER (local_date IS NULL) AS undated_rows FROM spo2"
-    ),
+    "undated_rows": over(RAW, select=UNDATED),
     "week_anchor": of_week("SELECT user_id, CAST(anchor AS VARCHAR) AS anchor FROM anchors"),
     "week_rows": of_week("SELECT * FROM week"),
     "week_stats": of_week("SELECT * FROM stats"),
