@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 
 from daymetrics import constants as K
 
-# Fixed value: the characters that count as blank, Unicode blanks and the four separator
-# controls included.
+# The characters that count as blank, Unicode blanks and the four separator
+# controls included, as a pattern class and as text.
 BLANK = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+BLANKS = (
+    "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Pieces per block when a text is cut; keeps the cost of long texts near linear.
 _PIECES_PER_BLOCK = 64
@@ -21,14 +25,14 @@ _PIECES_PER_BLOCK = 64
 def strip_markup(col: Column) -> Column:
     """Remove <tags>, code fences and asterisks, close up blank lines, trim both ends.
 
-    Each pattern stays linear on hostile text: an unclosed '<' is consumed once (and put
-    back through the group), and a blank run that is not at the end is tried only once.
+    The tag pattern stays linear on hostile text: an unclosed '<' is consumed once, and put
+    back through the group.
     """
     col = F.regexp_replace(col, r"<[^>]+>|(<[^>]*\z)", "$1")
     col = F.regexp_replace(col, r"```[a-z]*", "")
     col = F.regexp_replace(col, r"\*+", "")
     col = F.regexp_replace(col, rf"\n{BLANK}*\n{BLANK}*\n", "\n\n")
-    return F.regexp_replace(col, rf"\A{BLANK}++|(?<!{BLANK}){BLANK}++\z", "")
+    return F.trim(col, F.lit(BLANKS))
 
 
 def _pieces(col: Column, size: int) -> Column:

@@ -20,47 +20,25 @@ SLEEP = [
     "awake_minutes",
     "sleep_efficiency",
 ]
-# Silver tables whose columns are all numbers, one row per day each.
-NUMERIC = {
-    "steps": ["steps"],
-    "sleep": SLEEP,
+# Tables joined to the days that have steps or sleep, and what they add.
+ADDED = {
     "calories": ["active_kcal"],
+    "exercise": ["workouts", "workout_minutes", "workout_type"],
     "heart_rate": ["resting_hr"],
     "spo2": ["spo2_avg", "spo2_min"],
 }
 
 
-def _daily(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+def _daily(df: DataFrame, keys: Sequence[str], *measures: str) -> DataFrame:
     return df.select(*keys, S.day_column(df).alias(DAY), *measures)
 
 
 def spine(silver: Mapping[str, DataFrame], keys: Sequence[str] = ()) -> DataFrame:
-    """The days that have steps or sleep, with the numeric metrics side by side.
-
-    A full outer join of steps and sleep and left joins of the rest, written as one union and
-    one aggregate: Silver holds one row per day and table, so each output column has at most
-    one value to take. Silver built in the same plan arrives partitioned by (keys, day) and is
-    not shuffled again; read from storage, the five tables cross the network in one shuffle.
-    A table that breaks the one-row rule stops the job rather than being merged.
-    """
-    parts = [
-        _daily(silver[t], keys, measures).withColumn(f"_in_{t}", F.lit(1))
-        for t, measures in NUMERIC.items()
-    ]
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part, allowMissingColumns=True)
-    merged = stacked.groupBy(*keys, DAY).agg(
-        *[F.max(m).alias(m) for measures in NUMERIC.values() for m in measures],
-        *[F.count(f"_in_{t}").alias(f"_in_{t}") for t in NUMERIC],
-    )
-    most = F.greatest(*[F.col(f"_in_{t}") for t in NUMERIC])
-    single = F.when(most > 1, F.raise_error(F.lit("a Silver table has several rows for a day")))
-    return (
-        merged.where("_in_steps > 0 OR _in_sleep > 0")
-        .where(single.isNull())
-        .withColumn("steps", F.coalesce("steps", F.lit(0)))
-        .drop(*[f"_in_{t}" for t in NUMERIC])
+    """The days that have steps or sleep; a day of sleep alone has 0 steps."""
+    steps = _daily(silver["steps"], keys, "steps")
+    sleep = _daily(silver["sleep"], keys, *SLEEP)
+    return steps.join(sleep, [*keys, DAY], "full_outer").select(
+        *keys, DAY, F.coalesce("steps", F.lit(0)).alias("steps"), *SLEEP
     )
 
 
@@ -69,22 +47,25 @@ def build(
 ) -> DataFrame:
     """One row per key and day with steps or sleep; several where the day has several weights.
 
-    Equal weights of a day are counted before the join and written out again after it, so a
-    day with very many readings is not gathered in one task. The joins carry no hint:
-    Spark broadcasts a table only while it is under its size threshold.
+    Every input is already one row per day, so the joins are even however the raw records
+    are spread; Silver built in the same plan with `iso=False` arrives partitioned by
+    (keys, day), and only the spine is shuffled again. The joins carry no hint: Spark
+    broadcasts a table only while it is under its size threshold.
+
+    The weights are the exception. Equal weights of a day are counted before the join and
+    written out again after it, so a day with very many readings is not gathered in one task.
     """
     on = [*keys, DAY]
-    exercise = _daily(silver["exercise"], keys, ["workouts", "workout_minutes", "workout_type"])
     weights = (
-        _daily(silver["weight"], keys, ["weight_kg"])
+        _daily(silver["weight"], keys, "weight_kg")
         .groupBy(*on, "weight_kg")
         .agg(F.count(F.lit(1)).alias("_copies"))
     )
-    joined = (
-        spine(silver, keys)
-        .join(exercise, on, "left")
-        .join(weights, on, "left")
-        .withColumn("_copies", F.coalesce("_copies", F.lit(1)))
+    joined = spine(silver, keys)
+    for table, measures in ADDED.items():
+        joined = joined.join(_daily(silver[table], keys, *measures), on, "left")
+    joined = joined.join(weights, on, "left").withColumn(
+        "_copies", F.coalesce("_copies", F.lit(1))
     )
     day = S.iso(F.col(DAY)).alias(DAY) if iso else F.col(DAY)
     return rows.repeat_rows(joined, "_copies").select(

@@ -79,7 +79,8 @@ def run(gold: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Week bounds, day table and summary text of every key, from one pass over Gold."""
     recent = F.col("recent")
     out = (
-        day_text(weekly.fortnight(gold, keys))
+        weekly.fortnight(gold, keys)
+        .withColumn("text", F.when(recent, _day_block()))
         .groupBy(*keys)
         .agg(
             *_bounds(recent),

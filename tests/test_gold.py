@@ -78,10 +78,9 @@ def test_weights_of_a_day_fan_out(two_days, frame, rows):
     assert rows(quality.duplicate_keys(df)) == [("2026-06-23", 4)]
 
 
-def test_a_silver_table_with_two_rows_a_day_stops_the_build(two_days):
-    two_days["steps"] = two_days["steps"].union(two_days["steps"])
-    with pytest.raises(Exception, match="several rows for a day"):
-        gold.build(two_days).collect()
+def test_duplicates_in_silver_show_up_in_the_check(two_days, rows):
+    two_days["steps"] = two_days["steps"].union(two_days["steps"].where("steps = 8000"))
+    assert rows(quality.duplicate_keys(gold.build(two_days))) == [("2026-06-23", 2)]
 
 
 def test_one_user_alone_equals_their_part_of_the_population(spark, rows):
@@ -100,7 +99,14 @@ def exchanges(df):
     return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 
 
-def test_gold_adds_no_shuffle_to_the_numeric_silver_tables(spark):
-    clean = silver.run(sample.bronze(spark, "/root/testdata/sf0.001"), sample.AS_OF, ["user_id"], iso=False)
-    alone = sum(exchanges(clean[t]) for t in gold.NUMERIC)
-    assert exchanges(gold.spine(clean, ["user_id"])) == alone
+def test_gold_shuffles_the_spine_and_the_weights_only(spark):
+    """Beyond what the Silver tables shuffle themselves, with no table small enough to broadcast."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        clean = silver.run(sample.bronze(spark, "/root/testdata/sf0.001"), sample.AS_OF, ["user_id"], iso=False)
+        assert exchanges(gold.spine(clean, ["user_id"])) == exchanges(clean["steps"]) + exchanges(clean["sleep"])
+        alone = sum(exchanges(df) for df in clean.values())
+        assert exchanges(gold.build(clean, ["user_id"])) == alone + 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
