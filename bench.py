@@ -50,6 +50,8 @@ def main() -> None:
         int(cpus),
         spark__driver__memory="8g",
         spark__ui__showConsoleProgress="false",
+        # Plans are built many times here; without the call sites kept for error messages.
+        spark__python__sql__dataFrameDebugging__enabled="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
 

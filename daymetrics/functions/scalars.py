@@ -62,9 +62,16 @@ def thousandth(x: Column) -> Column:
 # --- rounding --------------------------------------------------------------------------
 
 def round_half_away(x: Column, digits: int) -> Column:
-    """Scale, round half away from zero, scale back (SQL ROUND on a double)."""
+    """Scale, round half away from zero, scale back (SQL ROUND on a double).
+
+    Spark's own round would go through a BigDecimal per value. rint and the distance to it
+    are exact, so only a tie that rint took down has to be put up.
+    """
     scale = F.lit(10.0**digits)
-    return F.round(x * scale, 0) / scale
+    size = F.abs(x * scale)
+    near = F.rint(size)
+    whole = F.when(size - near == 0.5, near + 1).otherwise(near)
+    return F.when(x < 0, -whole).otherwise(whole) / scale
 
 
 def round_half_even(x: Column, digits: int) -> Column:
@@ -87,10 +94,11 @@ def round_exact(x: Column, digits: int) -> Column:
     high = spread - (spread - x)
     low = x - high
     product = x * scale
-    below = F.floor(product).cast("double")
+    near = F.rint(product)
+    below = F.when(near > product, near - 1).otherwise(near)
     past_half = (high * scale - (below + F.lit(0.5))) + low * scale
     whole = (
-        F.when(past_half > 0, below + 1).when(past_half < 0, below).otherwise(F.rint(product))
+        F.when(past_half > 0, below + 1).when(past_half < 0, below).otherwise(near)
     )
     return whole / scale
 

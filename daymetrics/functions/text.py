@@ -53,9 +53,14 @@ def chunk(df: DataFrame, col: str, size: int = K.MESSAGE_SIZE) -> DataFrame:
     return df.select(*kept, F.posexplode(slices).alias("chunk_no", "chunk"))
 
 
-def number_text(x: Column) -> Column:
-    """A double the way the report prints it: 62.0, 7.25, and 20000000.0 rather than 2.0E7."""
-    plain = F.regexp_replace(x.cast("decimal(38,2)").cast("string"), "0$", "")
+def number_text(x: Column, digits: int = 1) -> Column:
+    """A double of up to `digits` decimals as the report prints it: 62.0, 7.25, 20000000.0.
+
+    The cast alone turns to 2.0E7 from ten million on.
+    """
+    plain = x.cast(f"decimal(38,{digits})").cast("string")
+    if digits > 1:
+        plain = F.regexp_replace(plain, r"(\.\d+?)0+$", "$1")
     return F.when(F.abs(x) < 1e7, x.cast("string")).otherwise(plain)
 
 

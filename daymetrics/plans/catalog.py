@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,9 +53,11 @@ def gold_table(spark: SparkSession, sf_dir: str, keys=KEYS) -> DataFrame:
 def stored_sources(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, str]]:
     """The raw tables written as an export, for the ingest operators."""
     root = session.work_dir(spark)
-    for name, df in sample.bronze(spark, sf_dir).items():
-        df.write.parquet(tables.path(root, "export", name))
-    return root, {name: tables.path(root, "export", name) for name in bronze.K.RAW_TABLES}
+    frames = sample.bronze(spark, sf_dir)
+    paths = {name: tables.path(root, "export", name) for name in frames}
+    with ThreadPoolExecutor(len(frames)) as pool:
+        list(pool.map(lambda name: frames[name].write.parquet(paths[name]), frames))
+    return root, paths
 
 
 # --- scalars ---------------------------------------------------------------------------

@@ -41,7 +41,7 @@ def run(
     keys: Sequence[str] = (),
     tie_break: str | None = None,
     strict: bool = True,
-    parallel: int = 4,
+    parallel: int = 8,
 ) -> Result:
     """Load, clean, join and report; every layer is stored below `target` and rewritten in full.
 

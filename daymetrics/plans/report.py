@@ -66,11 +66,12 @@ def _summary_block() -> Column:
     minutes = F.col("training_minutes")
     values = {c: F.col(c) for c in ["fecha_inicio", "fecha_fin", "tabla"]}
     values |= {c: F.col(c).cast("string") for c in ["total_steps", "training_days"]}
-    values |= {c: X.number_text(F.col(c)) for c in ["avg_sleep", "avg_deep", "avg_hr"]}
+    values |= {c: X.number_text(F.col(c)) for c in ["avg_deep", "avg_hr"]}
     values |= {
+        "avg_sleep": X.number_text(F.col("avg_sleep"), 2),
         "training_minutes": F.when(minutes == 0, "0").otherwise(X.number_text(minutes)),
         "prior_avg_steps": _or(X.number_text(F.col("prior_avg_steps")), K.NOT_AVAILABLE),
-        "prior_avg_sleep": _or(X.number_text(F.col("prior_avg_sleep")), K.NOT_AVAILABLE),
+        "prior_avg_sleep": _or(X.number_text(F.col("prior_avg_sleep"), 2), K.NOT_AVAILABLE),
     }
     return X.template(K.SUMMARY_BLOCK, values)
 

@@ -16,6 +16,8 @@ def build(master: str = "local[*]", shuffle_partitions: int = 8, **conf: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        # The JIT leaves longer methods interpreted; past this size Spark then splits them.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for name, value in conf.items():
         builder = builder.config(name.replace("__", "."), value)

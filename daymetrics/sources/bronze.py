@@ -42,7 +42,7 @@ def scan(spark: SparkSession, source: Source | str, table: str) -> DataFrame:
 
 
 def load(
-    spark: SparkSession, sources: Mapping[str, Source | str], target: str, parallel: int = 4
+    spark: SparkSession, sources: Mapping[str, Source | str], target: str, parallel: int = 8
 ) -> DataFrame:
     """Store every raw table under <target>/bronze and report rows or error per table.
 

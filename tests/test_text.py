@@ -73,13 +73,14 @@ def test_chunks_join_back(spark, size):
 
 
 @pytest.mark.parametrize(
-    "x, text",
-    [(62.0, "62.0"), (7.25, "7.25"), (0.0, "0.0"), (0.1, "0.1"), (20000000.0, "20000000.0"),
-     (12345678.9, "12345678.9"), (123456789.25, "123456789.25"), (None, None)],
+    "x, digits, text",
+    [(62.0, 1, "62.0"), (7.2, 1, "7.2"), (7.25, 2, "7.25"), (0.0, 1, "0.0"), (0.1, 1, "0.1"),
+     (20000000.0, 1, "20000000.0"), (12345678.9, 1, "12345678.9"), (123456789.25, 2, "123456789.25"),
+     (123456789.5, 2, "123456789.5"), (20000000.0, 2, "20000000.0"), (None, 1, None), (None, 2, None)],
 )
-def test_number_text(spark, x, text):
+def test_number_text(spark, x, digits, text):
     df = spark.createDataFrame([(x,)], "x double")
-    assert df.select(X.number_text(F.col("x")).alias("t")).first()["t"] == text
+    assert df.select(X.number_text(F.col("x"), digits).alias("t")).first()["t"] == text
 
 
 def test_template(spark):
