@@ -35,7 +35,7 @@ def _publish(df: DataFrame, keys: Sequence[str], iso: bool, **measures: Column)
     return df.select(*keys, day, *[c.alias(n) for n, c in measures.items()])
 
 
-def _from_source(df: DataFrame, source_id: int) -> DataFrame:
+def from_source(df: DataFrame, source_id: int) -> DataFrame:
     return df.where(F.col("app_info_id") == source_id)
 
 
@@ -134,7 +134,7 @@ def steps(
     iso: bool = True,
 ) -> DataFrame:
     """Steps per day from the watch; a day of zero steps is a day not worn."""
-    days = _dated(_from_source(df, source_id)).groupBy(*keys, DAY).agg(F.sum("count").alias("n"))
+    days = _dated(from_source(df, source_id)).groupBy(*keys, DAY).agg(F.sum("count").alias("n"))
     return _publish(days.where("n > 0"), keys, iso, steps=S.to_int(F.col("n")))
 
 
@@ -145,7 +145,7 @@ def calories(
     iso: bool = True,
 ) -> DataFrame:
     """Active energy per day from the watch, in thousands of the raw unit."""
-    days = _dated(_from_source(df, source_id)).groupBy(*keys, DAY).agg(F.sum("energy").alias("e"))
+    days = _dated(from_source(df, source_id)).groupBy(*keys, DAY).agg(F.sum("energy").alias("e"))
     return _publish(
         days, keys, iso, active_kcal=S.round_half_away(S.thousandth(F.col("e")), 1)
     )

@@ -112,7 +112,7 @@ def weekday_name(spark, sf_dir):
 @query
 def source_filter(spark, sf_dir):
     steps = raw(spark, sf_dir, "steps_record_table")
-    return silver._from_source(steps, silver.K.WATCH_SOURCE_ID).select("user_id", "local_date", "count")
+    return silver.from_source(steps, silver.K.WATCH_SOURCE_ID).select("user_id", "local_date", "count")
 
 
 @query

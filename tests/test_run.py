@@ -125,3 +125,13 @@ def test_work_dir_is_below_the_shared_folder(spark):
     a, b = session.work_dir(spark), session.work_dir(spark)
     assert a != b
     assert a.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_filters_and_columns_reach_the_scan(spark, export):
+    steps = spark.read.parquet(export["steps_record_table"])
+    plan = silver.steps(steps, KEYS)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(app_info_id,4)" in plan
+    rates = spark.read.parquet(export["resting_heart_rate_record_table"])
+    plan = silver.heart_rate(rates)._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(beats_per_minute,100)" in plan
+    assert "ReadSchema: struct<local_date:bigint,beats_per_minute:bigint>" in plan
