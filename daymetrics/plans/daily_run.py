@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -14,6 +15,8 @@ from daymetrics.operators import gold, quality, silver
 from daymetrics.plans import report
 from daymetrics.sources import bronze, tables
 
+logger = logging.getLogger(__name__)
+
 STATUS = "layer STRING, table_name STRING, rows BIGINT, error STRING"
 
 
@@ -84,6 +87,9 @@ def run(
     status.append(store("gold", "daily_metrics", lambda: gold.build(clean, keys)))
     check()
     daily = tables.read(spark, target, "gold", "daily_metrics")
+    repeated = quality.duplicate_count(daily, keys).first()["duplicate_days"]
+    if repeated:
+        logger.warning("%d days have several rows in Gold", repeated)
     status.append(store_report(daily, target, keys))
     check()
     return Result(

@@ -116,9 +116,10 @@ def test_strict_run_stops_and_lenient_run_reports(spark, export, tmp_path):
         daily_run.run(spark, {}, str(tmp_path / "c"), sample.AS_OF, KEYS, strict=False)
 
 
-def test_run_for_one_person(spark, export, tmp_path):
+def test_run_for_one_person(spark, export, tmp_path, caplog):
     result = daily_run.run(spark, export, str(tmp_path), sample.AS_OF, (), "row_id")
     assert result.report.count() == 1
+    assert f"{result.duplicates.count()} days have several rows" in caplog.text
 
 
 def test_work_dir_is_below_the_shared_folder(spark):
