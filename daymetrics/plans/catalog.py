@@ -30,11 +30,9 @@ def query(fn: Query) -> Query:
 raw = sample.table
 
 
-def sleep_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return (
-        raw(spark, sf_dir, "sleep_session_record_table"),
-        raw(spark, sf_dir, "sleep_stages_table"),
-    )
+def sleep_inputs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    names = ["sleep_session_record_table", "sleep_stages_table"]
+    return list(sample.bronze(spark, sf_dir, names).values())
 
 
 def gold_plan(spark: SparkSession, sf_dir: str, keys=KEYS) -> DataFrame:

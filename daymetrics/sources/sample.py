@@ -6,6 +6,8 @@ so another engine derives the same rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 AS_OF = "2024-02-05"
@@ -91,10 +93,14 @@ def _derive(events: DataFrame, table: str) -> DataFrame:
     )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return _derive(_events(spark, sf_dir), name)
+def bronze(
+    spark: SparkSession,
+    sf_dir: str,
+    names: Sequence[str] = (*TABLES, "sleep_stages_table"),
+) -> dict[str, DataFrame]:
+    events = _events(spark, sf_dir)
+    return {name: _derive(events, name) for name in names}
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    events = _events(spark, sf_dir)
-    return {name: _derive(events, name) for name in [*TABLES, "sleep_stages_table"]}
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return bronze(spark, sf_dir, [name])[name]
