@@ -68,7 +68,7 @@ def main() -> int:
     made, oracles = queries(), oracle_sql()
     print("without SQL:", sorted(set(made) - set(oracles)), "without query:", sorted(set(oracles) - set(made)))
     failed = 0
-    for name in sys.argv[2:] or made:
+    for name in sys.argv[2:] or oracles:
         start = time.time()
         try:
             problem = compare(spark, con, made[name], oracles[name], sf_dir)
