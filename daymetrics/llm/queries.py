@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymetrics.llm import license_scan, url_filter
+from daymetrics.llm import histogram_sort, license_scan, simhash, url_filter
 from daymetrics.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +45,26 @@ def op8_license_dice(spark, sf_dir):
 
 
 ORACLES["op8_license_dice"] = license_scan.sql()
+
+
+@query
+def op6_histogram_sort(spark, sf_dir):
+    """Every document's place in 24 shards of near equal bytes."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.octet_length(text) + 8).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.xxhash64("text").alias("group"),
+    )
+    placed = histogram_sort.shard(rows, F.col("group"), F.col("doc_id"), F.col("size"), 24)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query
+def op10_simhash_covering(spark, sf_dir):
+    """Every document's fingerprint and component of near duplicates."""
+    return simhash.cluster(table(spark, sf_dir, "documents"))
