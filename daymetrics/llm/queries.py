@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymetrics.llm import histogram_sort, license_scan, simhash, url_filter
+from daymetrics.llm import histogram_sort, license_scan, packing, simhash, url_filter
 from daymetrics.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,3 +69,15 @@ def op6_histogram_sort(spark, sf_dir):
 def op10_simhash_covering(spark, sf_dir):
     """Every document's fingerprint and component of near duplicates."""
     return simhash.cluster(table(spark, sf_dir, "documents"))
+
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+@query
+def op9_pack_windows(spark, sf_dir):
+    """Every piece of every document in sequences of 2048 tokens."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), 2048, 1)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
