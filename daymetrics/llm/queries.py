@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymetrics.llm import histogram_sort, license_scan, packing, simhash, url_filter
+from daymetrics.llm import histogram_sort, language, license_scan, packing, simhash, url_filter
 from daymetrics.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +81,12 @@ def op9_pack_windows(spark, sf_dir):
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query
+def op3_byte_gru(spark, sf_dir):
+    """Every document's language, by a network learned from two thirds of the labelled ones."""
+    found = language.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return found.select(
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+    )
