@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymetrics.llm import histogram_sort, language, license_scan, packing, simhash, url_filter
+from daymetrics.llm import histogram_sort, language, license_scan, packing, quality, simhash, url_filter
 from daymetrics.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,3 +90,15 @@ def op3_byte_gru(spark, sf_dir):
     return found.select(
         "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
     )
+
+
+@query
+def op2_certified_rules(spark, sf_dir):
+    """Every document's word statistics and the verdict of the certified rules, by language."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality.judge(documents, table(spark, sf_dir, "labels"), "lang", columns=["doc_id", "lang"]).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+ORACLES["op2_certified_rules"] = quality.sql()
