@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymetrics.llm import histogram_sort, language, license_scan, packing, quality, simhash, url_filter
+from daymetrics.llm import histogram_sort, language, license_scan, maxscore, mixing, packing, quality, simhash, url_filter
 from daymetrics.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,3 +102,19 @@ def op2_certified_rules(spark, sf_dir):
 
 
 ORACLES["op2_certified_rules"] = quality.sql()
+
+
+@query
+def op4_raked_mix(spark, sf_dir):
+    """Every document's weight, probability and draw after raking to source, language and topic."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return mixing.mix(documents, columns=["doc_id", "source", "lang"])
+
+
+@query
+def op5_maxscore(spark, sf_dir):
+    """The five best rows for every fiftieth vector, by inner product of its integer components."""
+    return maxscore.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+ORACLES["op5_maxscore"] = maxscore.sql()
