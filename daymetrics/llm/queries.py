@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymetrics.llm import histogram_sort, language, license_scan, maxscore, mixing, packing, quality, simhash, url_filter
+from daymetrics.llm import histogram_sort, html_mincut, language, license_scan, maxscore, mixing, packing, quality, simhash, url_filter
 from daymetrics.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,3 +118,9 @@ def op5_maxscore(spark, sf_dir):
 
 
 ORACLES["op5_maxscore"] = maxscore.sql()
+
+
+@query
+def op1_html_mincut(spark, sf_dir):
+    """Every page's main text."""
+    return html_mincut.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
