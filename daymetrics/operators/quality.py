@@ -36,3 +36,17 @@ def undated_by_table(raw: Mapping[str, DataFrame], day: str = "local_date") -> D
         if day in df.columns
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+def keyless(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: how many records lack a key and so reach no series."""
+    lacks = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys), F.lit(False))
+    return df.agg(F.count_if(lacks).alias("keyless_rows"))
+
+
+def keyless_by_table(raw: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:
+    """The same count for each raw table."""
+    counts = [
+        keyless(df, keys).select(F.lit(table).alias("source_table"), "keyless_rows") for table, df in raw.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)

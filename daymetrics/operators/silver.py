@@ -8,7 +8,8 @@ The day stays a DATE up to the last projection. With `iso=True` (the default) it
 published as 'YYYY-MM-DD' text; `iso=False` keeps the DATE, and with it the hash
 partitioning on (keys, day) that Gold builds on without another shuffle.
 
-Records without a date belong to no day and are dropped (`quality.undated` counts them).
+Records without a date or without a key belong to no series and are dropped, in every
+operator alike (`quality.undated` and `quality.keyless` count them).
 """
 
 from __future__ import annotations
@@ -26,8 +27,15 @@ from daymetrics.functions import scalars as S
 DAY = "local_date"
 
 
-def _dated(df: DataFrame) -> DataFrame:
-    return df.where(F.col(DAY).isNotNull()).withColumn(DAY, S.epoch_day(F.col(DAY)))
+def keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The records that have every key."""
+    for key in keys:
+        df = df.where(F.col(key).isNotNull())
+    return df
+
+
+def _dated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return keyed(df, keys).where(F.col(DAY).isNotNull()).withColumn(DAY, S.epoch_day(F.col(DAY)))
 
 
 def _publish(df: DataFrame, keys: Sequence[str], iso: bool, **measures: Column) -> DataFrame:
@@ -56,7 +64,7 @@ STAGES = {
 def stage_totals(stages: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Milliseconds per stage kind and session: the conditional-sum pivot, before any join."""
     ms = _duration("stage_start_time", "stage_end_time")
-    return stages.groupBy(*keys, "parent_key").agg(
+    return keyed(stages, keys).groupBy(*keys, "parent_key").agg(
         *[
             F.sum(F.when(F.col("stage_type") == code, ms).otherwise(0)).alias(f"{name}_ms")
             for name, code in STAGES.items()
@@ -64,6 +72,17 @@ def stage_totals(stages: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def with_sessions(
+    children: DataFrame, sessions: DataFrame, keys: Sequence[str] = (), how: str = "inner"
+) -> DataFrame:
+    """Rows that name a session in `parent_key`, next to their dated session.
+
+    `how="left"` keeps sessions without such a row.
+    """
+    parents = _dated(sessions, keys).withColumnRenamed("row_id", "parent_key")
+    return parents.join(keyed(children, keys), [*keys, "parent_key"], how)
+
+
 def sessions_with_stages(
     sessions: DataFrame, stages: DataFrame, keys: Sequence[str] = ()
 ) -> DataFrame:
@@ -72,8 +91,16 @@ def sessions_with_stages(
     Stages shrink to one row per session first; that aggregate leaves them partitioned the
     way the join needs them, so the stage table crosses the network once, pre-aggregated.
     """
-    totals = stage_totals(stages, keys).withColumnRenamed("parent_key", "row_id")
-    return _dated(sessions).join(totals, [*keys, "row_id"], "left")
+    return with_sessions(stage_totals(stages, keys), sessions, keys, "left")
+
+
+def _asleep(of: Column) -> Column:
+    return F.sum(F.when(of, _duration("start_time", "end_time")))
+
+
+def sleep_by_source(sessions: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Milliseconds asleep per day and recording source."""
+    return _dated(sessions, keys).groupBy(*keys, DAY, "app_info_id").agg(_asleep(F.lit(True)).alias("sleep_ms"))
 
 
 def sleep_days(
@@ -94,7 +121,7 @@ def sleep_days(
     if filter_stages:
         joined = joined.where(watch)
     return joined.groupBy(*keys, DAY).agg(
-        F.sum(F.when(watch, _duration("start_time", "end_time"))).alias("sleep_ms"),
+        _asleep(watch).alias("sleep_ms"),
         *[F.sum(f"{name}_ms").alias(f"{name}_ms") for name in STAGES],
     )
 
@@ -134,7 +161,7 @@ def steps(
     iso: bool = True,
 ) -> DataFrame:
     """Steps per day from the watch; a day of zero steps is a day not worn."""
-    days = _dated(from_source(df, source_id)).groupBy(*keys, DAY).agg(F.sum("count").alias("n"))
+    days = _dated(from_source(df, source_id), keys).groupBy(*keys, DAY).agg(F.sum("count").alias("n"))
     return _publish(days.where("n > 0"), keys, iso, steps=S.to_int(F.col("n")))
 
 
@@ -144,13 +171,25 @@ def calories(
     source_id: int = K.WATCH_SOURCE_ID,
     iso: bool = True,
 ) -> DataFrame:
-    """Active energy per day from the watch, in thousands of the raw unit."""
-    days = _dated(from_source(df, source_id)).groupBy(*keys, DAY).agg(F.sum("energy").alias("e"))
+    """Active energy per day from the watch, in thousands of the raw unit.
+
+    Summed through a decimal of six places: exact, so it does not depend on the order of rows.
+    """
+    energy = F.sum(F.col("energy").cast("decimal(32,6)")).cast("double")
+    days = _dated(from_source(df, source_id), keys).groupBy(*keys, DAY).agg(energy.alias("e"))
     return _publish(
         days, keys, iso, active_kcal=S.round_half_away(S.thousandth(F.col("e")), 1)
     )
 
 
+def plausible_rates(df: DataFrame, max_bpm: float = K.MAX_RESTING_BPM) -> DataFrame:
+    return df.where(F.col("beats_per_minute") <= max_bpm)
+
+
+def plausible_oxygen(df: DataFrame, min_pct: float = K.MIN_SPO2_PERCENT) -> DataFrame:
+    return df.where(F.col("percentage") >= min_pct)
+
+
 def heart_rate(
     df: DataFrame,
     keys: Sequence[str] = (),
@@ -158,8 +197,8 @@ def heart_rate(
     iso: bool = True,
 ) -> DataFrame:
     """Lowest plausible resting rate of the day."""
-    bpm = F.col("beats_per_minute")
-    days = _dated(df.where(bpm <= max_bpm)).groupBy(*keys, DAY).agg(F.min(bpm).alias("low"))
+    low = F.min("beats_per_minute").alias("low")
+    days = _dated(plausible_rates(df, max_bpm), keys).groupBy(*keys, DAY).agg(low)
     return _publish(days, keys, iso, resting_hr=S.to_int(F.col("low")))
 
 
@@ -169,12 +208,16 @@ def spo2(
     min_pct: float = K.MIN_SPO2_PERCENT,
     iso: bool = True,
 ) -> DataFrame:
-    """Mean (two decimals) and minimum (as read) of the plausible oxygen readings."""
+    """Mean (two decimals) and minimum (as read) of the plausible oxygen readings.
+
+    The mean's sum goes through a decimal of nine places, as that of the calories.
+    """
     pct = F.col("percentage")
+    mean = F.sum(pct.cast("decimal(28,9)")).cast("double") / F.count(pct)
     days = (
-        _dated(df.where(pct >= min_pct))
+        _dated(plausible_oxygen(df, min_pct), keys)
         .groupBy(*keys, DAY)
-        .agg(F.avg(pct).alias("mean"), F.min(pct).alias("low"))
+        .agg(mean.alias("mean"), F.min(pct).alias("low"))
     )
     return _publish(
         days, keys, iso, spo2_avg=S.round_half_away(F.col("mean"), 2), spo2_min=F.col("low")
@@ -186,7 +229,7 @@ def spo2(
 def exercise_by_type(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Workouts and milliseconds per day and exercise code."""
     return (
-        _dated(df)
+        _dated(df, keys)
         .groupBy(*keys, DAY, "exercise_type")
         .agg(
             F.count(F.lit(1)).alias("workouts"),
@@ -234,12 +277,41 @@ def exercise(
 
 # --- weight ----------------------------------------------------------------------------
 
-def _readings(df: DataFrame, as_of: date | str, keys: Sequence[str], order: str) -> DataFrame:
+def weight_counts(
+    df: DataFrame, as_of: date | str, keys: Sequence[str] = (), tie_break: str | None = None
+) -> DataFrame:
+    """Equal readings of a day as one row: weight_kg (NULL for empty ones), `copies`, `_order`.
+
+    The one aggregate over the raw readings, combined before its shuffle. `_order` is the
+    greatest `tie_break` (default: weight) among them.
+    """
     kg = S.round_half_even(S.thousandth(F.col("weight")), 2)
-    return (
-        _dated(df)
+    counts = (
+        _dated(df, keys)
         .where(F.col(DAY) <= S.day_literal(as_of))
-        .select(*keys, DAY, kg.alias("weight_kg"), F.col(order).alias("_order"))
+        .groupBy(*keys, DAY, kg.alias("weight_kg"))
+        .agg(F.count(F.lit(1)).alias("copies"), F.max(tie_break or "weight").alias("_order"))
+    )
+    # Always true, yet it keeps both columns in every use of the counts: their plans are then
+    # the same, and Spark runs the aggregate and its scan once.
+    return counts.where((F.col("copies") > 0) | F.col("_order").isNotNull())
+
+
+def closing_weights(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """One row per day with a reading: its last weight, NULL if all are empty."""
+    last = F.when(F.col("weight_kg").isNotNull(), F.col("_order"))
+    return counts.groupBy(*keys, DAY).agg(F.max_by("weight_kg", last).alias("closing"))
+
+
+def _fill(counts: DataFrame, as_of: date | str, keys: Sequence[str]) -> DataFrame:
+    series = Window.partitionBy(*keys).orderBy(DAY)
+    carried = F.last("closing", ignorenulls=True).over(
+        series.rowsBetween(Window.unboundedPreceding, 0)
+    )
+    end = F.date_add(S.day_literal(as_of), 1)
+    next_day = F.coalesce(F.lead(DAY).over(series), end)
+    return closing_weights(counts, keys).select(
+        *keys, DAY, carried.alias("weight_kg"), next_day.alias("next_day")
     )
 
 
@@ -249,29 +321,18 @@ def weight_fill(
     """One row per day that has a reading: the weight to carry on, and the next such day.
 
     `weight_kg` is the day's last reading, or the last one before it where the day holds only
-    empty readings; `empty` counts those; `next_day` ends the carry (the day after `as_of` for
-    the last row). Readings shrink to one row per day before the window, so a window
-    partition is as long as the key's count of days, however many readings it has.
+    empty readings; `next_day` ends the carry (the day after `as_of` for the last row).
+    Readings shrink to one row per day before the window, so a window partition is as long
+    as the key's count of days, however many readings it has.
     """
-    measured = F.col("weight_kg").isNotNull()
-    days = (
-        _readings(df, as_of, keys, tie_break or "weight")
-        .groupBy(*keys, DAY)
-        .agg(
-            F.max_by("weight_kg", F.when(measured, F.col("_order"))).alias("closing"),
-            F.count_if(~measured).alias("empty"),
-        )
-    )
-    series = Window.partitionBy(*keys).orderBy(DAY)
-    end = F.date_add(S.day_literal(as_of), 1)
-    return days.select(
-        *keys,
-        DAY,
-        F.last("closing", ignorenulls=True)
-        .over(series.rowsBetween(Window.unboundedPreceding, 0))
-        .alias("weight_kg"),
-        "empty",
-        F.coalesce(F.lead(DAY).over(series), end).alias("next_day"),
+    return _fill(weight_counts(df, as_of, keys, tie_break), as_of, keys)
+
+
+def _calendar(counts: DataFrame, as_of: date | str, keys: Sequence[str]) -> DataFrame:
+    return (
+        _fill(counts, as_of, keys)
+        .withColumn("_day", F.explode(rows.days_between(F.col(DAY), F.date_sub("next_day", 1))))
+        .select(*keys, F.col("_day").alias(DAY), "weight_kg", (F.col("_day") == F.col(DAY)).alias("has_reading"))
     )
 
 
@@ -279,16 +340,21 @@ def weight_calendar(
     df: DataFrame, as_of: date | str, keys: Sequence[str] = (), tie_break: str | None = None
 ) -> DataFrame:
     """Every day from a key's first reading to `as_of`, one row each, with the carried weight."""
-    filled = weight_fill(df, as_of, keys, tie_break)
-    dense = filled.withColumn(
-        "_day", F.explode(rows.days_between(F.col(DAY), F.date_sub("next_day", 1)))
+    return _calendar(weight_counts(df, as_of, keys, tie_break), as_of, keys)
+
+
+def weighed(days: DataFrame, counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """`days` (one row a day, weight_kg carried on) with the day's own readings, each row `copies`
+    times: a day without a reading has its carried weight once, an empty reading takes it."""
+    own = counts.select(*keys, DAY, F.col("weight_kg").alias("_own"), "copies", "_order")
+    joined = days.join(own, [*keys, DAY], "left").withColumns(
+        {
+            "weight_kg": F.coalesce("_own", "weight_kg"),
+            "_copies": F.coalesce("copies", F.lit(1).cast("long")),
+        }
     )
-    return dense.select(
-        *keys,
-        F.col("_day").alias(DAY),
-        "weight_kg",
-        (F.col("_day") == F.col(DAY)).alias("has_reading"),
-        F.when(F.col("_day") == F.col(DAY), F.col("empty")).otherwise(1).alias("carried_rows"),
+    return rows.repeat_rows(
+        joined.drop("_own", "copies", "_order"), "_copies", [*keys, DAY, "weight_kg"]
     )
 
 
@@ -306,17 +372,11 @@ def weight(
     `tie_break` names the column that orders readings within a day and is unique there;
     without it the heaviest reading is the last. An empty reading takes the day's last weight.
     """
-    calendar = weight_calendar(df, as_of, keys, tie_break)
-    if dedupe == "last":
-        daily = calendar.select(*keys, DAY, "weight_kg")
-    elif dedupe is None:
-        carried = rows.repeat_rows(
-            calendar.where("carried_rows > 0").select(*keys, DAY, "weight_kg", "carried_rows"),
-            "carried_rows",
-        )
-        read = _readings(df, as_of, keys, "weight").where("weight_kg IS NOT NULL")
-        daily = read.select(*keys, DAY, "weight_kg").unionByName(carried)
-    else:
+    counts = weight_counts(df, as_of, keys, tie_break)
+    daily = _calendar(counts, as_of, keys).select(*keys, DAY, "weight_kg")
+    if dedupe is None:
+        daily = weighed(daily, counts, keys)
+    elif dedupe != "last":
         raise ValueError(f"dedupe is 'last' or None, not {dedupe!r}")
     return _publish(daily, keys, iso, weight_kg=F.col("weight_kg"))
 

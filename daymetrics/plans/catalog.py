@@ -19,7 +19,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 KEYS = sample.KEYS
 AS_OF = sample.AS_OF
-DAY = "local_date"
+DAY = silver.DAY
 
 
 def query(fn: Query) -> Query:
@@ -37,8 +37,13 @@ def sleep_inputs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 def gold_plan(spark: SparkSession, sf_dir: str, keys=KEYS) -> DataFrame:
     """Gold straight from the raw tables: Silver stays in the plan, partitioned by (keys, day)."""
-    clean = silver.run(sample.bronze(spark, sf_dir), AS_OF, keys, "row_id", iso=False)
-    return gold.build(clean, keys)
+    return gold_of(sample.bronze(spark, sf_dir), keys)
+
+
+def gold_of(records, keys=KEYS) -> DataFrame:
+    clean = silver.run(records, AS_OF, keys, "row_id", iso=False)
+    counts = silver.weight_counts(records["weight_record_table"], AS_OF, keys, "row_id")
+    return gold.build(clean, keys, counts=counts, as_of=AS_OF)
 
 
 def gold_table(spark: SparkSession, sf_dir: str, keys=KEYS) -> DataFrame:
@@ -115,24 +120,19 @@ def source_filter(spark, sf_dir):
 
 @query
 def sensor_filter_bpm(spark, sf_dir):
-    return raw(spark, sf_dir, "resting_heart_rate_record_table").where(
-        F.col("beats_per_minute") <= silver.K.MAX_RESTING_BPM
-    )
+    return silver.plausible_rates(raw(spark, sf_dir, "resting_heart_rate_record_table"))
 
 
 @query
 def sensor_filter_spo2(spark, sf_dir):
-    return raw(spark, sf_dir, "oxygen_saturation_record_table").where(
-        F.col("percentage") >= silver.K.MIN_SPO2_PERCENT
-    )
+    return silver.plausible_oxygen(raw(spark, sf_dir, "oxygen_saturation_record_table"))
 
 
 @query
 def stage_session_join(spark, sf_dir):
     sessions, stages = sleep_inputs(spark, sf_dir)
-    parents = sessions.select("user_id", F.col("row_id").alias("parent_key"), "local_date", "app_info_id")
-    return stages.join(parents, ["user_id", "parent_key"]).select(
-        "user_id", "parent_key", "local_date", "app_info_id", "stage_type", "stage_start_time", "stage_end_time"
+    return silver.with_sessions(stages, sessions, KEYS).select(
+        "user_id", "parent_key", S.iso(F.col(DAY)).alias(DAY), "app_info_id", "stage_type", "stage_start_time", "stage_end_time"
     )
 
 
@@ -148,12 +148,9 @@ def stage_minutes_pivot(spark, sf_dir):
 
 @query
 def sleep_session_hours(spark, sf_dir):
-    ms = F.sum(F.col("end_time") - F.col("start_time"))
-    return (
-        raw(spark, sf_dir, "sleep_session_record_table")
-        .groupBy("user_id", "local_date", "app_info_id")
-        .agg(S.ms_to_hours(ms).alias("sleep_hours"))
-    )
+    by_source = silver.sleep_by_source(raw(spark, sf_dir, "sleep_session_record_table"), KEYS)
+    hours = S.ms_to_hours(F.col("sleep_ms")).alias("sleep_hours")
+    return by_source.select("user_id", S.iso(F.col(DAY)).alias(DAY), "app_info_id", hours)
 
 
 @query

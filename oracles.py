@@ -103,7 +103,7 @@ silver_steps AS (
   SELECT {k}{iso('local_date')} AS local_date, CAST(SUM(count) AS INTEGER) AS steps
   FROM steps WHERE app_info_id = 4 GROUP BY {k}steps.local_date HAVING SUM(count) > 0),
 silver_calories AS (
-  SELECT {k}{iso('local_date')} AS local_date, round(SUM(energy) / 1000, 1) AS active_kcal
+  SELECT {k}{iso('local_date')} AS local_date, round(CAST(SUM(CAST(energy AS DECIMAL(32,6))) AS DOUBLE) / CAST(1000 AS DOUBLE), 1) AS active_kcal
   FROM active_calories WHERE app_info_id = 4 GROUP BY {k}active_calories.local_date),
 by_type AS (
   SELECT {k}{iso('local_date')} AS local_date, exercise_type, COUNT(*) AS workouts,
@@ -121,7 +121,7 @@ silver_heart_rate AS (
   SELECT {k}{iso('local_date')} AS local_date, CAST(MIN(beats_per_minute) AS INTEGER) AS resting_hr
   FROM resting_hr WHERE beats_per_minute <= 100 GROUP BY {k}resting_hr.local_date),
 silver_spo2 AS (
-  SELECT {k}{iso('local_date')} AS local_date, round(AVG(percentage), 2) AS spo2_avg,
+  SELECT {k}{iso('local_date')} AS local_date, round(CAST(SUM(CAST(percentage AS DECIMAL(28,9))) AS DOUBLE) / COUNT(percentage), 2) AS spo2_avg,
          MIN(percentage) AS spo2_min
   FROM spo2 WHERE percentage >= 85 GROUP BY {k}spo2.local_date),
 reading AS (
@@ -335,7 +335,7 @@ ORACLES: dict[str, str] = {
     "sensor_filter_spo2": over(RAW, select="SELECT * FROM spo2 WHERE percentage >= 85"),
     "stage_session_join": over(
         RAW,
-        select="""SELECT st.user_id, parent_key, local_date, app_info_id, stage_type, stage_start_time,
+        select=f"""SELECT st.user_id, parent_key, {iso('local_date')} AS local_date, app_info_id, stage_type, stage_start_time,
   stage_end_time FROM sleep_stages st
   JOIN sleep_session s ON st.user_id = s.user_id AND st.parent_key = s.row_id""",
     ),
@@ -351,9 +351,9 @@ ORACLES: dict[str, str] = {
     ),
     "sleep_session_hours": over(
         RAW,
-        select=f"""SELECT user_id, local_date, app_info_id, CAST(SUM({SESSION_MS}) AS BIGINT)
+        select=f"""SELECT user_id, {iso('local_date')} AS local_date, app_info_id, CAST(SUM({SESSION_MS}) AS BIGINT)
   / CAST(1000 AS DOUBLE) / CAST(3600 AS DOUBLE) AS sleep_hours
-  FROM sleep_session GROUP BY user_id, local_date, app_info_id""",
+  FROM sleep_session GROUP BY user_id, sleep_session.local_date, app_info_id""",
     ),
     "sleep_efficiency": over(
         RAW, SILVER, select="SELECT user_id, local_date, sleep_efficiency FROM silver_sleep"

@@ -181,3 +181,38 @@ def test_weight_calendar_is_dense_per_key(spark):
     )
     for r in per_user.collect():
         assert (r["n"], r["days"], r["nulls"], r["last"]) == (r["span"] + 1, r["n"], 0, "2024-05-01")
+
+
+def test_records_without_a_key_reach_no_table(frame):
+    """They are counted, and leave no row, no absent week and no second row for a day."""
+    from daymetrics.operators import gold, quality, weekly
+
+    keys, day = ["user_id"], 19723
+    raw = {
+        "sleep_session_record_table": frame(
+            "row_id long, user_id long, local_date long, start_time long, end_time long, app_info_id int",
+            [(1, None, day, 0, 30_000_000, 4), (2, 7, day, 0, 30_000_000, 4)],
+        ),
+        "sleep_stages_table": frame(
+            "user_id long, parent_key long, stage_type int, stage_start_time long, stage_end_time long",
+            [(None, 1, 5, 0, 60_000), (7, 2, 5, 0, 120_000)],
+        ),
+        "steps_record_table": frame("user_id long, local_date long, count long, app_info_id int", [(None, day, 5, 4), (7, day, 6, 4)]),
+        "active_calories_burned_record_table": frame("user_id long, local_date long, energy double, app_info_id int", [(None, day, 1.0, 4)]),
+        "exercise_session_record_table": frame(
+            "user_id long, local_date long, exercise_type int, start_time long, end_time long", [(None, day, 45, 0, 60_000)]
+        ),
+        "resting_heart_rate_record_table": frame("user_id long, local_date long, beats_per_minute long", [(None, day, 60)]),
+        "oxygen_saturation_record_table": frame("user_id long, local_date long, percentage double", [(None, day, 95.0)]),
+        "weight_record_table": frame("row_id long, user_id long, local_date long, weight double", [(1, None, day, 70_000.0)]),
+    }
+    clean = silver.run(raw, "2024-02-05", keys, "row_id", iso=False)
+    assert {t: [r["user_id"] for r in df.collect()] for t, df in clean.items()} == {
+        "sleep": [7], "steps": [7], "calories": [], "exercise": [], "heart_rate": [], "spo2": [], "weight": [],
+    }
+    assert clean["sleep"].first()["deep_minutes"] == 2.0
+    built = gold.build(clean, keys)
+    assert [(r["user_id"], r["steps"]) for r in built.collect()] == [(7, 6)]
+    assert {r["user_id"] for r in weekly.week_rows(built, keys).collect()} == {7}
+    counted = {r["source_table"]: r["keyless_rows"] for r in quality.keyless_by_table(raw, keys).collect()}
+    assert set(counted.values()) == {1} and len(counted) == 8

@@ -106,3 +106,60 @@ def test_no_cross_join_and_no_python(clean):
     text = gold.build(clean, KEYS)._jdf.queryExecution().executedPlan().toString()
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
         assert operator not in text
+
+
+def rows_per_task(df):
+    counts = df.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    return sorted(r["count"] for r in counts)
+
+
+@pytest.mark.parametrize("keys", [KEYS, []])
+@pytest.mark.parametrize("empty", [False, True])
+def test_no_task_writes_the_hot_day(spark, raw, keys, empty):
+    """A third of all readings on one day with few distinct weights, or all empty: copies are
+    written by every task alike."""
+    hot = F.col("local_date") == 19723
+    few = F.when(F.lit(empty) & hot, None).otherwise(F.when(hot, 70_000 + F.col("row_id") % 3).otherwise(60_000)).cast("double")
+    records = {**raw, "weight_record_table": raw["weight_record_table"].withColumn("weight", few)}
+    clean = silver.run(records, AS_OF, keys, "row_id", iso=False)
+    counts = silver.weight_counts(records["weight_record_table"], AS_OF, keys, "row_id")
+    for df in (clean["weight"], gold.build(clean, keys, counts=counts, as_of=AS_OF)):
+        sizes = rows_per_task(df)
+        assert len(sizes) == 8 and sizes[-1] <= 1.5 * sizes[4]
+
+
+def test_gold_from_counts_equals_gold_from_silver(raw, clean):
+    counts = silver.weight_counts(raw["weight_record_table"], AS_OF, KEYS, "row_id")
+    a = gold.build(clean, KEYS, counts=counts, as_of=AS_OF)
+    b = gold.build(clean, KEYS)
+    columns = [*KEYS, "local_date", "weight_kg", "steps", "sleep_hours"]
+    assert a.select(columns).exceptAll(b.select(columns)).count() == 0
+    assert b.select(columns).exceptAll(a.select(columns)).count() == 0
+
+
+def final_plan(df):
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_raw_weights_are_aggregated_once(spark, raw, tmp_path):
+    path = str(tmp_path / "weights")
+    raw["weight_record_table"].write.parquet(path)
+    plan = final_plan(silver.weight(spark.read.parquet(path), AS_OF, KEYS, "row_id"))
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+
+
+def test_sums_do_not_depend_on_the_partitioning(spark):
+    """Fractions whose double sums differ with their order."""
+    n = F.col("id")
+    df = spark.range(60_000).select(
+        F.lit(4).alias("app_info_id"), (19723 + n % 3).alias("local_date"),
+        (n * 0.1 + 1e-3).alias("energy"), (85 + n % 15 + (n % 7) / 7.0).alias("percentage"),
+    )
+    results = set()
+    for parts in (1, 3, 8, 17):
+        split = df.orderBy(F.xxhash64("energy", F.lit(parts))).repartition(parts)
+        sums = [tuple(r) for r in silver.calories(split).unionByName(silver.spo2(split), allowMissingColumns=True).collect()]
+        results.add(tuple(sorted(sums, key=str)))
+    assert len(results) == 1
