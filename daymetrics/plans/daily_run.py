@@ -17,7 +17,9 @@ from daymetrics.sources import bronze, tables
 
 logger = logging.getLogger(__name__)
 
-STATUS = "layer STRING, table_name STRING, rows BIGINT, error STRING"
+STATUS = "layer STRING, table_name STRING, rows BIGINT, error STRING, stood_in STRING"
+#: What stands in for a table that failed in a lenient run.
+LAST_RUN, EMPTY = "last run", "empty"
 
 
 @dataclass(frozen=True)
@@ -49,60 +51,61 @@ def run(
     """Load, clean, join and report; every layer is stored below `target` and rewritten in full.
 
     `strict` stops at the first table that fails. Otherwise the failure goes into the status,
-    and the last stored version of that table, or an empty one, stands in.
+    and the last published version of that table, or an empty one, stands in; `stood_in` says
+    which. A layer's new versions are published together once all its tables are written.
     """
-    status: list[tuple[str, str, int | None, str | None]] = []
+    status: list[tuple[str, str, int | None, str | None, str | None]] = []
 
     def check() -> None:
-        failed = [f"{layer}.{t}: {error}" for layer, t, _, error in status if error]
+        failed = [f"{layer}.{t}: {error}" for layer, t, _, error, _ in status if error]
         if strict and failed:
             raise RuntimeError("; ".join(failed))
 
     # Eight rows at most.
     loaded = bronze.load(spark, sources, target, parallel).collect()
-    status += [("bronze", r.source_table, r.rows, r.error) for r in loaded]
-    check()
     raw = bronze.read(spark, target)
+    for r in loaded:
+        there = LAST_RUN if r.source_table in raw else EMPTY
+        status.append(("bronze", r.source_table, r.rows, r.error, there if r.error else None))
+    check()
     if not raw:
         raise RuntimeError("no raw table has been loaded yet")
 
-    def store(layer: str, table: str, make: Callable[[], DataFrame]):
-        try:
-            n = tables.overwrite(make(), target, layer, table, [*keys, "local_date"])
-            return layer, table, n, None
-        except Exception as error:  # noqa: BLE001 - isolated per table, reported
-            return layer, table, None, bronze.first_line(error)
+    def store(layer: str, made: Mapping[str, Callable[[], DataFrame]], sort_by: Sequence[str]):
+        """Write a layer's tables a few at a time, publish them, and return their current paths."""
+
+        def one(table: str):
+            try:
+                return table, tables.write(made[table](), target, layer, table, sort_by), None
+            except Exception as error:  # noqa: BLE001 - isolated per table, reported
+                return table, None, bronze.first_line(error)
+
+        with ThreadPoolExecutor(parallel) as pool:
+            done = list(pool.map(one, made))
+        tables.publish(spark, target, [version for _, version, _ in done if version])
+        now = tables.current(spark, target, layer)
+        for table, version, error in done:
+            there = LAST_RUN if (layer, table) in now else EMPTY
+            status.append((layer, table, version.rows if version else None, error, there if error else None))
+        check()
+        return {table: now[layer, table] for table in made if (layer, table) in now}
 
     plans = silver.plans(raw, as_of, keys, tie_break)
-    with ThreadPoolExecutor(parallel) as pool:
-        status += pool.map(lambda item: store("silver", *item), plans.items())
-    check()
-    clean = {
-        t: tables.read(spark, target, "silver", t)
-        if tables.exists(spark, target, "silver", t)
-        else _empty_silver(spark, t, raw, keys)
-        for t in plans
-    }
-
-    status.append(store("gold", "daily_metrics", lambda: gold.build(clean, keys)))
-    check()
-    daily = tables.read(spark, target, "gold", "daily_metrics")
+    stored = store("silver", plans, [*keys, "local_date"])
+    clean = {t: spark.read.parquet(stored[t]) if t in stored else _empty_silver(spark, t, raw, keys) for t in plans}
+    stored = store("gold", {"daily_metrics": lambda: gold.build(clean, keys)}, [*keys, "local_date"])
+    if not stored:
+        raise RuntimeError("Gold has never been built")
+    daily = spark.read.parquet(stored["daily_metrics"])
     repeated = quality.duplicate_count(daily, keys).first()["duplicate_days"]
     if repeated:
         logger.warning("%d days have several rows in Gold", repeated)
-    status.append(store_report(daily, target, keys))
-    check()
+    stored = store("report", {"weekly": lambda: report.run(daily, keys)}, [])
+    if not stored:
+        raise RuntimeError("the report has never been built")
     return Result(
         spark.createDataFrame(status, STATUS),
         quality.duplicate_keys(daily, keys),
         quality.undated_by_table(raw),
-        tables.read(spark, target, "report", "weekly"),
+        spark.read.parquet(stored["weekly"]),
     )
-
-
-def store_report(daily: DataFrame, target: str, keys: Sequence[str]):
-    try:
-        n = tables.overwrite(report.run(daily, keys), target, "report", "weekly")
-        return "report", "weekly", n, None
-    except Exception as error:  # noqa: BLE001 - reported
-        return "report", "weekly", None, bronze.first_line(error)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -28,12 +30,14 @@ def work_dir(spark: SparkSession) -> str:
     """A new folder for a run's tables, below the one `spark.checkpoint.dir` names.
 
     Only a local master may do without that setting; on a cluster a folder of one machine
-    is out of the other executors' reach.
+    is out of the other executors' reach. The local one goes when the process ends; folders
+    below a shared one (run-<id>) are the cluster's to expire, as other checkpoints are.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.conf.get("spark.master", "local").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="daymetrics-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/run-{uuid.uuid4().hex}"

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daymetrics import constants as K
 from daymetrics import schemas
@@ -20,17 +21,25 @@ TEXT_FORMATS = {"csv", "json"}
 
 @dataclass(frozen=True)
 class Source:
-    """Where a raw table is and how to read it. `options` go to the reader (csv header, jdbc url ...)."""
+    """Where a raw table is and how to read it.
+
+    `options` go to the reader (csv header; jdbc url, and partitionColumn, lowerBound, upperBound
+    and numPartitions so that a large table is read by many tasks). Without a `schema` Spark
+    infers one from text formats, which reads their data twice.
+    """
 
     path: str | None
     format: str = "parquet"
     options: Mapping[str, str] = field(default_factory=dict)
+    schema: T.StructType | str | None = None
 
 
 def scan(spark: SparkSession, source: Source | str, table: str) -> DataFrame:
     """The whole source table, all columns; the required ones must be there."""
     src = Source(source) if isinstance(source, str) else source
     reader = spark.read.format(src.format).options(**src.options)
+    if src.schema is not None:
+        reader = reader.schema(src.schema)
     df = reader.load(src.path) if src.path else reader.load()
     required = schemas.BRONZE[table]
     if src.format in TEXT_FORMATS:
@@ -51,16 +60,18 @@ def load(
     run a few at a time.
     """
 
-    def store(table: str) -> tuple[str, int | None, str | None]:
+    def store(table: str) -> tuple[str, tables.Version | None, str | None]:
         try:
             if table not in sources:
                 raise KeyError(f"no source for {table}")
-            return table, tables.overwrite(scan(spark, sources[table], table), target, "bronze", table), None
+            return table, tables.write(scan(spark, sources[table], table), target, "bronze", table), None
         except Exception as error:  # noqa: BLE001 - isolated per table, reported
             return table, None, first_line(error)
 
     with ThreadPoolExecutor(parallel) as pool:
-        status = list(pool.map(store, K.RAW_TABLES))
+        done = list(pool.map(store, K.RAW_TABLES))
+    tables.publish(spark, target, [made for _, made, _ in done if made])
+    status = [(table, made.rows if made else None, error) for table, made, error in done]
     return spark.createDataFrame(status, STATUS)
 
 
@@ -71,11 +82,8 @@ def first_line(error: Exception) -> str:
 
 def read(spark: SparkSession, target: str) -> dict[str, DataFrame]:
     """The stored raw tables that exist."""
-    return {
-        t: tables.read(spark, target, "bronze", t)
-        for t in K.RAW_TABLES
-        if tables.exists(spark, target, "bronze", t)
-    }
+    stored = tables.current(spark, target, "bronze")
+    return {t: spark.read.parquet(stored["bronze", t]) for t in K.RAW_TABLES if ("bronze", t) in stored}
 
 
 def snapshots(spark: SparkSession, folder: str, glob: str = "*.zip", folders: bool = False) -> DataFrame:

@@ -443,7 +443,7 @@ ORACLES: dict[str, str] = {
     "latest_snapshot": silver_table("steps"),
     "full_run_report": of_report("SELECT * FROM summaries"),
     "full_run_status": of_report(
-        f"""SELECT layer, table_name, rows, CAST(NULL AS VARCHAR) AS error FROM (
+        f"""SELECT layer, table_name, rows, CAST(NULL AS VARCHAR) AS error, CAST(NULL AS VARCHAR) AS stood_in FROM (
   SELECT 'bronze' AS layer, source_table AS table_name, rows FROM ({RAW_COUNTS})
   UNION ALL {LAYER_COUNTS})"""
     ),
