@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -50,3 +50,16 @@ def keyless_by_table(raw: Mapping[str, DataFrame], keys: Sequence[str]) -> DataF
         keyless(df, keys).select(F.lit(table).alias("source_table"), "keyless_rows") for table, df in raw.items()
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+def file_order(stored: DataFrame, sort_by: Sequence[str]) -> DataFrame:
+    """One row: the rows of a stored table, and how many of its files begin before the one before
+    them ends. Sees one row per file; files may share the value that they meet at."""
+    place = F.struct(*sort_by)
+    files = stored.groupBy(F.input_file_name().alias("file")).agg(
+        F.min(place).alias("first"), F.max(place).alias("last"), F.count(F.lit(1)).alias("n")
+    )
+    before = F.lag("last").over(Window.orderBy("first", "last"))
+    return files.select("n", (before > F.col("first")).alias("overlaps")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count_if("overlaps").alias("overlapping_files")
+    )

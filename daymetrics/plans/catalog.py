@@ -277,7 +277,80 @@ def gold_duplicate_count(spark, sf_dir):
 
 @query
 def undated_rows(spark, sf_dir):
-    return quality.undated_by_table(sample.bronze(spark, sf_dir))
+    return quality.undated_by_table(sample.edges(spark, sf_dir))
+
+
+@query
+def keyless_rows(spark, sf_dir):
+    return quality.keyless_by_table(sample.edges(spark, sf_dir), KEYS)
+
+
+# --- the same operators over records with edge cases -----------------------------------
+
+def _silver_edges(table: str) -> Query:
+    def run(spark, sf_dir):
+        return silver.plans(sample.edges(spark, sf_dir), AS_OF, KEYS, "row_id")[table]()
+
+    run.__name__ = f"silver_{table}_edges"
+    return run
+
+
+for _table in ("sleep", "steps", "calories", "exercise", "heart_rate", "spo2", "weight"):
+    query(_silver_edges(_table))
+
+
+@query
+def dominant_workout_ties(spark, sf_dir):
+    by_type = silver.exercise_by_type(sample.edges(spark, sf_dir)["exercise_session_record_table"], KEYS)
+    top = F.col("top_type")
+    return silver.exercise_days(by_type, KEYS).select(
+        "user_id", S.iso(F.col(DAY)).alias(DAY), top, S.exercise_label(top).alias("workout_type")
+    )
+
+
+@query
+def gold_edges(spark, sf_dir):
+    return gold_of(sample.edges(spark, sf_dir))
+
+
+def _edges_table(spark, sf_dir) -> DataFrame:
+    root = session.work_dir(spark)
+    tables.overwrite(gold_edges(spark, sf_dir), root, "gold", "daily_metrics")
+    return tables.read(spark, root, "gold", "daily_metrics")
+
+
+@query
+def week_rows_edges(spark, sf_dir):
+    return weekly.week_rows(_edges_table(spark, sf_dir), KEYS)
+
+
+@query
+def week_over_week_edges(spark, sf_dir):
+    return weekly.week_over_week(_edges_table(spark, sf_dir), KEYS)
+
+
+@query
+def report_summary_edges(spark, sf_dir):
+    return report.summary_text(_edges_table(spark, sf_dir), KEYS)
+
+
+# --- stored Gold -----------------------------------------------------------------------
+
+@query
+def stored_gold_order(spark, sf_dir):
+    """Rows of stored Gold, and how many of its files begin before the one before them ends."""
+    root = session.work_dir(spark)
+    tables.overwrite(gold_plan(spark, sf_dir), root, "gold", "daily_metrics", [*KEYS, DAY])
+    return quality.file_order(tables.read(spark, root, "gold", "daily_metrics"), [*KEYS, DAY])
+
+
+@query
+def gold_sql_view(spark, sf_dir):
+    tables.as_views({"daily_metrics": gold_table(spark, sf_dir)}, "gold_")
+    return spark.sql(
+        "SELECT local_date, count(*) AS rows, sum(steps) AS steps, sum(is_workout_day) AS workouts"
+        " FROM gold_daily_metrics GROUP BY local_date"
+    )
 
 
 # --- week ------------------------------------------------------------------------------
@@ -350,6 +423,15 @@ def text_strip_documents(spark, sf_dir):
     return documents.select("doc_id", X.strip_markup(F.col("text")).alias("content"))
 
 
+@query
+def text_strip_edges(spark, sf_dir):
+    """The documents in a code fence, followed by blank lines, a tag and bold marks."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    tail = F.concat(F.lit("\n```\n\n \t\n\n**<b>"), F.col("doc_id"), F.lit("</b>** \n\n\n"))
+    fenced = F.concat(F.lit("```python\n"), F.col("text"), tail)
+    return documents.select("doc_id", X.strip_markup(fenced).alias("content"))
+
+
 @query
 def text_chunks(spark, sf_dir):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
@@ -370,6 +452,36 @@ def bronze_status(spark, sf_dir):
     return bronze.load(spark, sources, root)
 
 
+@query
+def bronze_status_broken(spark, sf_dir):
+    """Three of the sources fail: one is not there, one lacks columns, one is not named."""
+    root, sources = stored_sources(spark, sf_dir)
+    sources["sleep_stages_table"] = sources["steps_record_table"]
+    sources["steps_record_table"] = f"{root}/nowhere"
+    del sources["weight_record_table"]
+    failed = F.col("error").isNotNull().alias("failed")
+    return bronze.load(spark, sources, root).select("source_table", "rows", failed)
+
+
+@query
+def bronze_text_formats(spark, sf_dir):
+    """Steps from a CSV export and calories from a JSON export, each read with its schema."""
+    root = session.work_dir(spark)
+    sources = {}
+    for name, fmt, options in (
+        ("steps_record_table", "csv", {"header": "true"}),
+        ("active_calories_burned_record_table", "json", {}),
+    ):
+        frame = raw(spark, sf_dir, name)
+        frame.write.format(fmt).options(**options).save(f"{root}/export/{name}")
+        sources[name] = bronze.Source(f"{root}/export/{name}", fmt, options, frame.schema)
+    bronze.load(spark, sources, root)
+    loaded = bronze.read(spark, root)
+    steps = silver.steps(loaded["steps_record_table"], KEYS)
+    calories = silver.calories(loaded["active_calories_burned_record_table"], KEYS)
+    return steps.join(calories, [*KEYS, DAY], "full_outer")
+
+
 @query
 def latest_snapshot(spark, sf_dir):
     """Steps of the newer of two exports: first the other sources' records, then all of them."""
@@ -394,3 +506,13 @@ def full_run_report(spark, sf_dir):
 @query
 def full_run_status(spark, sf_dir):
     return _full_run(spark, sf_dir).status
+
+
+@query
+def run_lenient_status(spark, sf_dir):
+    """A source is missing and nothing was stored before: an empty table stands in, and says so."""
+    root, sources = stored_sources(spark, sf_dir)
+    del sources["oxygen_saturation_record_table"]
+    result = daily_run.run(spark, sources, root, AS_OF, KEYS, "row_id", strict=False)
+    failed = F.col("error").isNotNull().alias("failed")
+    return result.status.select("layer", "table_name", "rows", failed, "stood_in")

@@ -63,6 +63,70 @@ TABLES = {
 }
 
 
+#: The same tables with what real exports hold besides: records without a user or date, or dated
+#: after `AS_OF`, users who never sleep, empty measures, ties, values on a threshold, fractions.
+EDGES = {
+    "sleep_session_record_table": (
+        ["signup"],
+        [
+            *SESSION[:-1],
+            f"{START} + CASE event_id % 4 WHEN 0 THEN 1800000 WHEN 1 THEN 1799999 ELSE cv * 6000 END AS end_time",
+        ],
+        "user_id % 7 <> 3",
+    ),
+    "steps_record_table": (
+        ["view"],
+        ["user_id", "local_date", "app_info_id", "if(event_id % 11 = 0, NULL, cv) AS count"],
+        "true",
+    ),
+    "active_calories_burned_record_table": (
+        ["click"],
+        ["user_id", "local_date", "app_info_id", "if(event_id % 23 = 0, NULL, cv * 97 / 10D) AS energy"],
+        "true",
+    ),
+    "exercise_session_record_table": (
+        ["purchase"],
+        [
+            "user_id",
+            "local_date",
+            "CASE event_id % 3 WHEN 0 THEN 45 WHEN 1 THEN 53 ELSE 58 END AS exercise_type",
+            f"{START} AS start_time",
+            f"{START} + 600000 AS end_time",
+        ],
+        "true",
+    ),
+    "resting_heart_rate_record_table": (
+        ["error"],
+        ["user_id", "local_date", "if(event_id % 9 = 0, NULL, 96 + cv % 10) AS beats_per_minute"],
+        "true",
+    ),
+    "oxygen_saturation_record_table": (
+        ["error", "view"],
+        ["user_id", "local_date", "if(event_id % 9 = 0, NULL, 84 + cv % 20 / 7D) AS percentage"],
+        "true",
+    ),
+    "weight_record_table": (
+        ["click"],
+        [
+            "event_id AS row_id",
+            "user_id",
+            "local_date",
+            "if(event_id % 3 = 0, NULL, CAST(60000 + cv % 30000 AS DOUBLE)) AS weight",
+        ],
+        "true",
+    ),
+}
+#: Users are few enough that several records fall on one day of one user.
+EDGE_EVENTS = [
+    "event_id",
+    "if(event_id % 13 = 0, NULL, user_id % 40) AS user_id",
+    "event_type",
+    "CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 19 = 0 THEN local_date + 40 ELSE local_date END AS local_date",
+    "cv",
+    "app_info_id",
+]
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
         "event_id",
@@ -79,9 +143,12 @@ def _derive(events: DataFrame, table: str) -> DataFrame:
         kinds, columns = TABLES[table]
         wanted = ", ".join(f"'{k}'" for k in kinds)
         return events.where(f"event_type IN ({wanted})").selectExpr(*columns)
+    return _stages(_derive(events, "sleep_session_record_table"))
+
+
+def _stages(sessions: DataFrame) -> DataFrame:
     return (
-        _derive(events, "sleep_session_record_table")
-        .where(STAGED)
+        sessions.where(STAGED)
         .selectExpr("*", f"inline({STAGE_SHARES}) AS (stage_type, pct)")
         .selectExpr(
             "row_id AS parent_key",
@@ -93,6 +160,18 @@ def _derive(events: DataFrame, table: str) -> DataFrame:
     )
 
 
+def edges(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All raw tables, with edge cases."""
+    events = _events(spark, sf_dir).selectExpr(*EDGE_EVENTS)
+    made = {}
+    for table, (kinds, columns, rule) in EDGES.items():
+        wanted = ", ".join(f"'{k}'" for k in kinds)
+        # A record without a user satisfies no rule about users; it stays.
+        made[table] = events.where(f"event_type IN ({wanted}) AND coalesce({rule}, true)").selectExpr(*columns)
+    made["sleep_stages_table"] = _stages(made["sleep_session_record_table"])
+    return made
+
+
 def bronze(
     spark: SparkSession,
     sf_dir: str,

@@ -57,6 +57,51 @@ weight AS (
   FROM ev WHERE event_type = 'click')
 """
 
+#: The tables with edge cases: <name>_all as they are, <name> without records that lack a user or date.
+EDGES = (
+    RAW[: RAW.index("sleep_session AS (")].replace("ev AS (", "ev0 AS (")
+    + """
+ev AS (
+  SELECT event_id, CASE WHEN event_id % 13 <> 0 THEN user_id % 40 END AS user_id, event_type,
+         CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 19 = 0 THEN local_date + 40 ELSE local_date END AS local_date,
+         cv, app_info_id FROM ev0),
+sleep_session_all AS (
+  SELECT event_id AS row_id, user_id, local_date, app_info_id, local_date * 86400000 AS start_time,
+         local_date * 86400000 + CASE event_id % 4 WHEN 0 THEN 1800000 WHEN 1 THEN 1799999 ELSE cv * 6000 END AS end_time
+  FROM ev WHERE event_type = 'signup' AND coalesce(user_id % 7 <> 3, true)),
+sleep_stages_all AS (
+  SELECT s.row_id AS parent_key, s.user_id, v.stage_type, s.start_time AS stage_start_time,
+         s.start_time + ((s.end_time - s.start_time) * v.pct) // 100 AS stage_end_time
+  FROM sleep_session_all s
+  CROSS JOIN (VALUES (1, 5), (2, 5), (4, 50), (5, 20), (6, 20)) v(stage_type, pct)
+  WHERE s.end_time - s.start_time >= 3600000),
+steps_all AS (
+  SELECT user_id, local_date, app_info_id, CASE WHEN event_id % 11 <> 0 THEN cv END AS count
+  FROM ev WHERE event_type = 'view'),
+active_calories_all AS (
+  SELECT user_id, local_date, app_info_id, CASE WHEN event_id % 23 <> 0 THEN cv * 97 / CAST(10 AS DOUBLE) END AS energy
+  FROM ev WHERE event_type = 'click'),
+exercise_all AS (
+  SELECT user_id, local_date, CASE event_id % 3 WHEN 0 THEN 45 WHEN 1 THEN 53 ELSE 58 END AS exercise_type,
+         local_date * 86400000 AS start_time, local_date * 86400000 + 600000 AS end_time
+  FROM ev WHERE event_type = 'purchase'),
+resting_hr_all AS (
+  SELECT user_id, local_date, CASE WHEN event_id % 9 <> 0 THEN 96 + cv % 10 END AS beats_per_minute
+  FROM ev WHERE event_type = 'error'),
+spo2_all AS (
+  SELECT user_id, local_date, CASE WHEN event_id % 9 <> 0 THEN 84 + cv % 20 / CAST(7 AS DOUBLE) END AS percentage
+  FROM ev WHERE event_type IN ('error', 'view')),
+weight_all AS (
+  SELECT event_id AS row_id, user_id, local_date,
+         CASE WHEN event_id % 3 <> 0 THEN CAST(60000 + cv % 30000 AS DOUBLE) END AS weight
+  FROM ev WHERE event_type = 'click')"""
+    + "".join(
+        f",\n{t} AS (SELECT * FROM {t}_all WHERE user_id IS NOT NULL AND local_date IS NOT NULL)"
+        for t in "sleep_session steps active_calories exercise resting_hr spo2 weight".split()
+    )
+    + ",\nsleep_stages AS (SELECT * FROM sleep_stages_all WHERE user_id IS NOT NULL)\n"
+)
+
 LABEL = (
     "CASE {0} WHEN 45 THEN 'Fuerza' WHEN 53 THEN 'Running' WHEN 58 THEN 'Senderismo' ELSE 'Otro' END"
 )
@@ -126,7 +171,8 @@ silver_spo2 AS (
   FROM spo2 WHERE percentage >= 85 GROUP BY {k}spo2.local_date),
 reading AS (
   SELECT {k}row_id, DATE '1970-01-01' + CAST(local_date AS INTEGER) AS day,
-         weight / CAST(1000 AS DOUBLE) AS kg FROM weight),
+         weight / CAST(1000 AS DOUBLE) AS kg FROM weight
+  WHERE DATE '1970-01-01' + CAST(local_date AS INTEGER) <= {AS_OF}),
 first_day AS (SELECT {k}MIN(day) AS first FROM reading GROUP BY {k or 'ALL'}{"" if not k else "ALL"}),
 calendar AS (
   SELECT {k}CAST(unnest(generate_series(first, {AS_OF}, INTERVAL 1 DAY)) AS DATE) AS day
@@ -134,7 +180,7 @@ calendar AS (
 weight_rows AS (
   SELECT {k.replace('user_id', 'c.user_id')}c.day, r.row_id, r.kg,
          round_even(last_value(r.kg IGNORE NULLS) OVER ({part.replace('user_id', 'c.user_id')}
-           ORDER BY c.day, r.row_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS weight_kg
+           ORDER BY c.day, r.kg IS NULL, r.row_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS weight_kg
   FROM calendar c LEFT JOIN reading r ON {on('c', 'r')}c.day = r.day),
 silver_weight AS (SELECT {k}CAST(day AS VARCHAR) AS local_date, weight_kg FROM weight_rows)
 """.replace("GROUP BY ALL\n", "GROUP BY ALL\n").replace("GROUP BY user_id, ALL", "GROUP BY user_id")
@@ -285,10 +331,14 @@ RAW_COUNTS = " UNION ALL ".join(
     for name, cte in RAW_TABLES.items()
 )
 UNDATED = " UNION ALL ".join(
-    f"SELECT '{name}' AS source_table, COUNT(*) FILTER (local_date IS NULL) AS undated_rows FROM {cte}"
+    f"SELECT '{name}' AS source_table, COUNT(*) FILTER (local_date IS NULL) AS undated_rows FROM {cte}_all"
     for name, cte in RAW_TABLES.items()
     if name != "sleep_stages_table"
 )
+KEYLESS = " UNION ALL ".join(
+    f"SELECT '{name}' AS source_table, COUNT(*) FILTER (user_id IS NULL) AS keyless_rows FROM {cte}_all"
+    for name, cte in RAW_TABLES.items()
+)
 LAYER_COUNTS = " UNION ALL ".join(
     f"SELECT '{layer}', '{name}', COUNT(*) FROM {cte}"
     for layer, name, cte in [
@@ -409,7 +459,46 @@ ORACLES: dict[str, str] = {
         """SELECT COUNT(*) AS duplicate_days FROM (
   SELECT user_id, local_date, COUNT(*) AS cnt FROM gold GROUP BY user_id, local_date HAVING cnt > 1)"""
     ),
-    "undated_rows": over(RAW, select=UNDATED),
+    "undated_rows": over(EDGES, select=UNDATED),
+    "keyless_rows": over(EDGES, select=KEYLESS),
+    **{
+        f"silver_{t}_edges": over(EDGES, SILVER, select=f"SELECT * FROM silver_{t}")
+        for t in ["sleep", "steps", "calories", "exercise", "heart_rate", "spo2", "weight"]
+    },
+    "dominant_workout_ties": over(
+        EDGES,
+        SILVER,
+        select=f"""SELECT user_id, local_date, top_type, {LABEL.format('top_type')} AS workout_type
+  FROM dominant""",
+    ),
+    "gold_edges": over(EDGES, SILVER, GOLD, select="SELECT * FROM gold"),
+    "week_rows_edges": over(EDGES, SILVER, GOLD, WEEK, select="SELECT * FROM week"),
+    "week_over_week_edges": over(EDGES, SILVER, GOLD, WEEK, select="SELECT * FROM stats JOIN prior USING (user_id)"),
+    "report_summary_edges": over(EDGES, SILVER, GOLD, WEEK, REPORT, select="SELECT user_id, summary FROM summaries"),
+    "stored_gold_order": of_gold("SELECT COUNT(*) AS rows, CAST(0 AS BIGINT) AS overlapping_files FROM gold"),
+    "gold_sql_view": of_gold(
+        """SELECT local_date, COUNT(*) AS rows, CAST(SUM(steps) AS BIGINT) AS steps, CAST(SUM(is_workout_day) AS BIGINT) AS workouts
+  FROM gold GROUP BY local_date"""
+    ),
+    "bronze_text_formats": over(
+        RAW,
+        SILVER,
+        select="""SELECT user_id, local_date, steps, active_kcal
+  FROM silver_steps FULL OUTER JOIN silver_calories USING (user_id, local_date)""",
+    ),
+    "bronze_status_broken": over(
+        RAW,
+        select=f"""SELECT source_table, CASE WHEN failed THEN NULL ELSE rows END AS rows, failed FROM (
+  SELECT *, source_table IN ('steps_record_table', 'sleep_stages_table', 'weight_record_table') AS failed FROM ({RAW_COUNTS}))""",
+    ),
+    "run_lenient_status": of_report(
+        f"""SELECT layer, table_name, CASE WHEN failed THEN NULL ELSE rows END AS rows, failed,
+  CASE WHEN failed THEN 'empty' END AS stood_in FROM (
+  SELECT *, table_name IN ('oxygen_saturation_record_table', 'spo2') AS failed FROM (
+    SELECT 'bronze' AS layer, source_table AS table_name, rows FROM ({RAW_COUNTS}) UNION ALL {LAYER_COUNTS}))"""
+    ),
+    "text_strip_edges": f"""SELECT doc_id, {stripped("fenced")} AS content FROM (
+  SELECT doc_id, E'```python\\n' || text || E'\\n```\\n\\n \\t\\n\\n**<b>' || doc_id || E'</b>** \\n\\n\\n' AS fenced FROM documents)""",
     "week_anchor": of_week("SELECT user_id, CAST(anchor AS VARCHAR) AS anchor FROM anchors"),
     "week_rows": of_week("SELECT * FROM week"),
     "week_stats": of_week("SELECT * FROM stats"),
