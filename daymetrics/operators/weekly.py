@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from daymetrics import constants as K
 from daymetrics.functions import rows
 from daymetrics.functions import scalars as S
+from daymetrics.operators.silver import DAY, keyed
 
-DAY = "local_date"
+#: Tasks that a key's rows may be dealt to before they are reduced.
+_SALTS = 16
 # Gold columns the week needs.
 USED = [
     "steps",
@@ -29,7 +31,8 @@ WEEK = ["fecha", "dia", "sleep_h", "deep_min", "rem_min", "steps", "kcal", "work
 
 def _anchors(gold: DataFrame, keys: Sequence[str]) -> DataFrame:
     return (
-        gold.where("sleep_hours > 0")
+        keyed(gold, keys)
+        .where("sleep_hours > 0")
         .select(*keys, S.day_column(gold).alias("anchor"))
         .groupBy(*keys)
         .agg(F.max("anchor").alias("anchor"))
@@ -42,28 +45,40 @@ def anchor(gold: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return _anchors(gold, keys).select(*keys, S.iso(F.col("anchor")).alias("anchor"))
 
 
-def _one_row_per_day(gold: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Gold without its weight, which is all that tells the rows of one day apart.
+def _one_row_per_day(gold: DataFrame, anchors: DataFrame, keys: Sequence[str], first: int, last: int) -> DataFrame:
+    """Gold of the days anchor-first to anchor-last, without its weight, which is all that tells
+    the rows of one day apart. `copies` keeps their number.
 
-    `copies` keeps their number. Duplicates merge before the shuffle, so a day that was
-    weighed very often costs no more than another.
+    All other days are dropped by the join with the anchors, before anything is aggregated or
+    sorted. If Spark does not broadcast the anchors, a key's rows go to as many tasks as there
+    are salts, by the task that read them: neither a hot key nor a hot day is gathered in one.
+    The label is a grouping column, as it is the same in all rows of a day; the rest are
+    numbers, which a hash aggregate holds.
     """
-    return (
-        gold.select(*keys, S.day_column(gold).alias(DAY), *USED)
-        .groupBy(*keys, DAY)
-        .agg(*[F.max(c).alias(c) for c in USED], F.count(F.lit(1)).alias("copies"))
+    salts = F.sequence(F.lit(0), F.lit(_SALTS - 1))
+    bounds = anchors.withColumn("_salt", F.explode(salts)).hint("shuffle_hash")
+    near = (
+        keyed(gold, keys)
+        .select(*keys, S.day_column(gold).alias(DAY), *USED, F.pmod(F.spark_partition_id(), F.lit(_SALTS)).alias("_salt"))
+        .join(bounds, [*keys, "_salt"])
+        .where(F.col(DAY).between(F.date_sub("anchor", first), F.date_sub("anchor", last)))
+    )
+    numbers = [c for c in USED if c != "workout_type"]
+    return near.groupBy(*keys, DAY, "workout_type").agg(
+        *[F.max(c).alias(c) for c in numbers], F.count(F.lit(1)).alias("copies")
     )
 
 
 def _days(gold: DataFrame, keys: Sequence[str], first: int, last: int) -> DataFrame:
     """Days anchor-first to anchor-last of each key, with the day's metrics where it has any."""
-    wanted = _anchors(gold, keys).withColumn(
+    anchors = _anchors(gold, keys)
+    wanted = anchors.withColumn(
         DAY,
         F.explode(
             rows.days_between(F.date_sub("anchor", first), F.date_sub("anchor", last))
         ),
     )
-    return wanted.join(_one_row_per_day(gold, keys), [*keys, DAY], "left")
+    return wanted.join(_one_row_per_day(gold, anchors, keys, first, last), [*keys, DAY], "left")
 
 
 def _as_week(days: DataFrame, keys: Sequence[str], *extra: str) -> DataFrame:

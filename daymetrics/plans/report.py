@@ -17,22 +17,27 @@ def _or(x: Column, default: str) -> Column:
     return F.coalesce(x, F.lit(default))
 
 
-def _day_block() -> Column:
-    num = {c: X.number_text(F.col(c)) for c in ["sleep_h", "deep_min", "rem_min", "kcal", "w_min", "hr", "spo2"]}
-    weekend = F.col("dia").isin(K.WEEKEND_NAMES)
+def _day_block(day: Column | None = None) -> Column:
+    """The text of one week row, given as a struct or as the columns of the same names."""
+
+    def col(name: str) -> Column:
+        return F.col(name) if day is None else day[name]
+
+    num = {c: X.number_text(col(c)) for c in ["sleep_h", "deep_min", "rem_min", "kcal", "w_min", "hr", "spo2"]}
+    weekend = col("dia").isin(K.WEEKEND_NAMES)
     values = {
         "day_symbol": F.when(weekend, K.WEEKEND_SYMBOL).otherwise(K.WEEKDAY_SYMBOL),
-        "dia": F.col("dia"),
-        "fecha": F.col("fecha"),
+        "dia": col("dia"),
+        "fecha": col("fecha"),
         "sleep_h": _or(num["sleep_h"], K.ABSENT),
         "deep_min": _or(num["deep_min"], K.ABSENT),
         "rem_min": _or(num["rem_min"], K.ABSENT),
-        "steps": F.col("steps").cast("string"),
+        "steps": col("steps").cast("string"),
         "kcal": _or(num["kcal"], K.ABSENT),
-        "workout_symbol": S.lookup(F.col("workout"), K.WORKOUT_SYMBOLS, K.DEFAULT_WORKOUT_SYMBOL),
-        "workout": F.col("workout"),
+        "workout_symbol": S.lookup(col("workout"), K.WORKOUT_SYMBOLS, K.DEFAULT_WORKOUT_SYMBOL),
+        "workout": col("workout"),
         # A missing day shows the whole number 0, a rest day 0.0.
-        "w_min": F.when(F.col("workout") == K.ABSENT, "0").otherwise(num["w_min"]),
+        "w_min": F.when(col("workout") == K.ABSENT, "0").otherwise(num["w_min"]),
         "hr": _or(F.concat(num["hr"], F.lit(" bpm")), K.NO_READING),
         "spo2": _or(F.concat(num["spo2"], F.lit("%")), K.NO_READING),
     }
@@ -44,10 +49,14 @@ def day_text(week: DataFrame) -> DataFrame:
     return week.withColumn("text", _day_block())
 
 
-def _table(of: Column) -> Column:
-    """Title and day blocks, oldest first. A key has seven of them, so the list is bounded."""
-    days = F.sort_array(F.collect_list(F.when(of, F.struct("fecha", "text"))))
-    return F.concat_ws("\n", F.lit(K.DAY_TABLE_TITLE), F.transform(days, lambda d: d["text"]))
+def _week_days(of: Column) -> Column:
+    """The week rows of a key as values, oldest first; seven of them, so the list is bounded."""
+    return F.sort_array(F.collect_list(F.when(of, F.struct(*weekly.WEEK))))
+
+
+def _table(days: Column) -> Column:
+    """Title and day blocks: text is made only here, after the rows of a key have met."""
+    return F.concat_ws("\n", F.lit(K.DAY_TABLE_TITLE), F.transform(days, _day_block))
 
 
 def _bounds(of: Column) -> list[Column]:
@@ -58,8 +67,10 @@ def _bounds(of: Column) -> list[Column]:
 def week_text(week: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """The seven blocks of a key joined under the title, with the week's bounds."""
     every = F.lit(True)
-    out = day_text(week).groupBy(*keys).agg(*_bounds(every), _table(every).alias("tabla"))
-    return out.where("fecha_fin IS NOT NULL")
+    out = week.groupBy(*keys).agg(*_bounds(every), _week_days(every).alias("_days"))
+    return out.where("fecha_fin IS NOT NULL").select(
+        *keys, "fecha_inicio", "fecha_fin", _table(F.col("_days")).alias("tabla")
+    )
 
 
 def _summary_block() -> Column:
@@ -81,15 +92,15 @@ def run(gold: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     recent = F.col("recent")
     out = (
         weekly.fortnight(gold, keys)
-        .withColumn("text", F.when(recent, _day_block()))
         .groupBy(*keys)
         .agg(
             *_bounds(recent),
-            _table(recent).alias("tabla"),
+            _week_days(recent).alias("_days"),
             *weekly.week_aggregates(recent),
             *weekly.prior_aggregates(~recent),
         )
         .where("fecha_fin IS NOT NULL")
+        .withColumn("tabla", _table(F.col("_days")))
     )
     return out.select(
         *keys, "fecha_inicio", "fecha_fin", "tabla", _summary_block().alias("summary")

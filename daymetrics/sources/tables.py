@@ -1,7 +1,7 @@
 """Stored layer tables: versions of Parquet below <root>/<layer>/<table>, and one list of what is current.
 
-A write makes a new version next to the old ones. It becomes the table when a row that names
-it is appended to <root>/_versions; Spark's commit of that one small file is the switch. A
+A write makes a new version next to the old ones. It becomes the table when a file that names
+it appears below <root>/_versions; Spark's commit of that one small file is the switch. A
 write that fails, or a run that stops between the two steps, leaves the table as it was; two
 runs at once each write their own versions, and the one published later counts.
 """
@@ -39,7 +39,7 @@ def _list(root: str) -> str:
 def versions(spark: SparkSession, root: str) -> DataFrame:
     """All versions ever published below `root`; no row if there is none."""
     try:
-        return spark.read.schema(VERSIONS).parquet(_list(root))
+        return spark.read.schema(VERSIONS).option("recursiveFileLookup", "true").parquet(_list(root))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -89,7 +89,9 @@ def publish(spark: SparkSession, root: str, made: Sequence[Version]) -> None:
     """Switch the tables to these versions, all in one commit."""
     if made:
         rows = [(v.layer, v.table, v.version, v.rows, time.time_ns()) for v in made]
-        spark.createDataFrame(rows, VERSIONS).coalesce(1).write.mode("append").parquet(_list(root))
+        # A folder of its own: writers that append to the same one clear each other's files.
+        folder = f"{_list(root)}/{time.time_ns():020d}-{uuid.uuid4().hex}"
+        spark.createDataFrame(rows, VERSIONS).coalesce(1).write.parquet(folder)
 
 
 def overwrite(df: DataFrame, root: str, layer: str, table: str, sort_by: Sequence[str] = ()) -> int:

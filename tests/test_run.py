@@ -136,3 +136,52 @@ def test_filters_and_columns_reach_the_scan(spark, export):
     plan = silver.heart_rate(rates)._jdf.queryExecution().executedPlan().toString()
     assert "LessThanOrEqual(beats_per_minute,100)" in plan
     assert "ReadSchema: struct<local_date:bigint,beats_per_minute:bigint>" in plan
+
+
+def test_a_run_that_stops_between_write_and_switch_leaves_the_table(spark, tmp_path, rows):
+    root = str(tmp_path)
+    tables.overwrite(spark.range(3), root, "silver", "t")
+    tables.write(spark.range(9), root, "silver", "t")  # the process ends here
+    assert rows(tables.read(spark, root, "silver", "t")) == [(0,), (1,), (2,)]
+    tables.overwrite(spark.range(1), root, "silver", "t")
+    assert rows(tables.read(spark, root, "silver", "t")) == [(0,)]
+
+
+def test_two_writes_at_once_leave_one_whole_table(spark, tmp_path, rows):
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = str(tmp_path)
+    frames = [spark.range(k * 1000, k * 1000 + 500).repartition(3) for k in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        assert list(pool.map(lambda df: tables.overwrite(df, root, "gold", "t", ["id"]), frames)) == [500] * 4
+    assert rows(tables.read(spark, root, "gold", "t")) in [rows(df) for df in frames]
+
+
+def test_old_versions_can_be_emptied(spark, tmp_path, rows):
+    root = str(tmp_path)
+    for n in range(1, 5):
+        tables.overwrite(spark.range(n), root, "silver", "t")
+    assert tables.clean(spark, root) == 2 and tables.clean(spark, root) == 0
+    assert tables.read(spark, root, "silver", "t").count() == 4
+
+
+def test_tables_in_the_catalog(spark, tmp_path):
+    root = str(tmp_path)
+    tables.overwrite(spark.range(4), root, "gold", "numbers")
+    assert tables.register(spark, root, "gold") == ["default.gold_numbers"]
+    assert spark.sql("SELECT count(*) FROM gold_numbers").first()[0] == 4
+    spark.sql("DROP TABLE gold_numbers")
+
+
+def test_a_declared_schema_needs_no_look_at_the_data(spark, tmp_path):
+    steps = sample.table(spark, SF, "steps_record_table")
+    steps.write.json(f"{tmp_path}/steps")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("declared", "scan with a schema")
+    got = bronze.scan(spark, bronze.Source(f"{tmp_path}/steps", "json", {}, steps.schema), "steps_record_table")
+    assert not tracker.getJobIdsForGroup("declared")
+    spark.sparkContext.setJobGroup("inferred", "scan without")
+    bronze.scan(spark, bronze.Source(f"{tmp_path}/steps", "json"), "steps_record_table")
+    assert tracker.getJobIdsForGroup("inferred")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got.dtypes == steps.dtypes

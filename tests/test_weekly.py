@@ -203,3 +203,53 @@ def test_analysis_message(frame):
     df = frame("id int, answer string", [(1, " **Bien** <b>hoy</b>\n\n\n\nfin ")])
     got = report.analysis_messages(df, "answer").first()
     assert (got["id"], got["chunk_no"], got["chunk"]) == (1, 0, "🤖 ANÁLISIS EXPERTO\n\nBien hoy\n\nfin")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+@pytest.mark.parametrize("keys", [["user_id"], []])
+def test_other_days_go_before_anything_is_aggregated(spark, frame, no_broadcast, keys):
+    """Below the aggregate of Gold stands the join that bounds the days; nothing sorts to aggregate."""
+    from daymetrics.plans import catalog, report
+
+    gold = catalog.gold_plan(spark, "/root/testdata/sf0.001", keys)
+    stored = spark.createDataFrame(gold.collect(), gold.schema)
+    for df in (weekly.week_rows(stored, keys), weekly.week_over_week(stored, keys), report.run(stored, keys)):
+        plan = plan_of(df)
+        assert "SortAggregate" not in plan
+        below = plan[plan.index("partial_count(1)") :]
+        assert "ShuffledHashJoin" in below and "date_sub(anchor" in below
+
+
+def test_text_is_made_after_the_rows_of_a_key_have_met(spark):
+    from daymetrics.plans import catalog, report
+
+    gold = catalog.gold_plan(spark, "/root/testdata/sf0.001")
+    plan = plan_of(report.run(spark.createDataFrame(gold.collect(), gold.schema), ["user_id"]))
+    assert "Pasos" in plan and "Pasos" not in plan[plan.index("Exchange") :]
+
+
+def test_a_hot_day_is_not_gathered_for_its_week(spark):
+    """Half of all Gold rows are copies of one day: they leave the join from several tasks."""
+    from pyspark.sql import functions as F
+
+    n = F.col("id")
+    gold = spark.range(0, 80_000, 1, 16).select(
+        (n % 2 * (n % 500)).alias("user_id"), F.when(n % 2 == 0, "2024-01-20").otherwise("2024-01-19").alias("local_date"),
+        F.lit(5).alias("steps"), F.lit(7.0).alias("sleep_hours"), F.lit(1.0).alias("deep_minutes"), F.lit(1.0).alias("rem_minutes"),
+        F.lit(None).cast("double").alias("active_kcal"), F.lit(0.0).alias("workout_minutes"), F.lit("Descanso").alias("workout_type"),
+        F.lit(None).cast("int").alias("resting_hr"), F.lit(None).cast("double").alias("spo2_avg"),
+    )
+    week = weekly.week_rows(gold, ["user_id"])
+    assert week.groupBy("user_id").count().where("count <> 7").count() == 0
+    assert week.where("user_id = 0 AND fecha = '2024-01-20'").first()["steps"] == 5
