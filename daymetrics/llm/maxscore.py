@@ -67,7 +67,10 @@ class Shard:
             step = first
             while done < len(by) and len(rows):
                 terms = by[done : done + step]
-                score = score + q[terms] @ self.terms[terms][:, at : at + block][:, rows] - q[terms] @ worst[terms]
+                impacts = self.terms[terms, at : at + block]
+                if len(rows) < len(ids):
+                    impacts = impacts[:, rows]
+                score = score + q[terms] @ impacts - q[terms] @ worst[terms]
                 done += step
                 competitive = score + rest[min(done, len(by))] > floor  # an equal score has a larger id
                 rows, score = rows[competitive], score[competitive]
