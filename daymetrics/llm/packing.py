@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import sys
 import types
+from array import array
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -17,8 +18,9 @@ from tokenizers import Tokenizer
 
 from daymetrics.llm.common import stored
 
-#: Words whose ids a Python worker remembers; then it starts anew. About 250 bytes each.
-REMEMBERED = 800_000
+#: Words, and parts of words, whose ids a Python worker remembers; then it starts anew. About 250
+#: bytes each.
+REMEMBERED = 600_000
 #: Words without an apostrophe, of ASCII and of Latin letters that have one code point in every form.
 _PLAIN = re.compile(r"[!-&(-~À-ÖØ-Þß-öø-ÿ]+")
 _PARTS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-/:-`{-~]+")
@@ -33,6 +35,20 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in printable else chr(256 + hidden.index(b)) for b in range(256)}
 
 
+class Remembered(dict):
+    """Ids by word or part, made by a function on the first look-up; bounded by starting anew."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        ids = self[key] = self.make(key)
+        return ids
+
+
 class WordEncoder:
     """Ids of whole texts under a tokenizer that splits at blanks and has no context across them.
 
@@ -43,7 +59,8 @@ class WordEncoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
+        wide = self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
+        self.type, self.code = np.dtype("<u4" if wide else "<u2"), "I" if wide else "H"
         model, pre, normal = self.tokenizer.model, self.tokenizer.pre_tokenizer, repr(self.tokenizer.normalizer)
         self.by_words = (
             type(model).__name__ == "BPE"
@@ -55,34 +72,26 @@ class WordEncoder:
         )
         self.model = model
         self.letters = _byte_letters()
-        self.known: dict[str, bytes] = {}
+        self.parts = Remembered(self.part)
+        self.words = Remembered(self.word)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type)
 
+    def part(self, part: str) -> bytes:
+        if not part.isascii():
+            part = part.encode().decode("latin-1").translate(self.letters)
+        return array(self.code, [t.id for t in self.model.tokenize(part)]).tobytes()
+
     def word(self, word: str) -> bytes:
         if not _PLAIN.fullmatch(word) or "<|" in word:
             return self.whole(word).tobytes()
-        ids: list[int] = []
-        for part in _PARTS.findall(word.lower()):
-            if not part.isascii():
-                part = part.encode().decode("latin-1").translate(self.letters)
-            ids += [t.id for t in self.model.tokenize(part)]
-        return np.array(ids, self.type).tobytes()
+        return b"".join(map(self.parts.__getitem__, _PARTS.findall(word.lower())))
 
     def encode(self, text: str) -> bytes:
         if not self.by_words or _ODD_BLANKS.search(text):
             return self.whole(text).tobytes()
-        words, known = text.split(), self.known
-        for w in {*words}:
-            if w not in known:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                known[w] = self.word(w)
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:  # it was cleared meanwhile
-            return self.whole(text).tobytes()
+        return b"".join(map(self.words.__getitem__, text.split()))
 
 
 def encoder(path: str) -> WordEncoder:
