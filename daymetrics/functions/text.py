@@ -18,6 +18,9 @@ BLANKS = (
     "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
+# What counts as a tag and as the mark of a code fence.
+TAG, FENCE = r"<[^>]+>", r"```[a-z]*"
+
 # Pieces per block when a text is cut; keeps the cost of long texts near linear.
 _PIECES_PER_BLOCK = 64
 
@@ -28,9 +31,9 @@ def strip_markup(col: Column) -> Column:
     The tag pattern stays linear on hostile text: an unclosed '<' is consumed once, and put
     back through the group.
     """
-    col = F.regexp_replace(col, r"<[^>]+>|(<[^>]*\z)", "$1")
-    col = F.regexp_replace(col, r"```[a-z]*", "")
-    col = F.regexp_replace(col, r"\*+", "")
+    col = F.regexp_replace(col, TAG + r"|(<[^>]*\z)", "$1")
+    col = F.regexp_replace(col, FENCE, "")
+    col = F.replace(col, F.lit("*"), F.lit(""))
     col = F.regexp_replace(col, rf"\n{BLANK}*\n{BLANK}*\n", "\n\n")
     return F.trim(col, F.lit(BLANKS))
 

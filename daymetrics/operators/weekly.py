@@ -160,7 +160,10 @@ def week_aggregates(of: Column) -> list[Column]:
 
 
 def prior_aggregates(of: Column) -> list[Column]:
-    """Means over the Gold rows of the days for which `of` holds; NULL where there are none."""
+    """Means over the Gold rows of the days for which `of` holds; NULL where there are none.
+
+    Summed with six decimals; Gold has two at most.
+    """
 
     def mean(name: str, digits: int) -> Column:
         value = F.when(of, F.col(name)).cast("decimal(18,6)")
