@@ -89,7 +89,7 @@ def search(
     row_id: str = "vec_id",
     vector: str = "embedding",
     shard_rows: int = 8192,
-    query_rows: int = 8192,
+    query_rows: int = 32_768,
 ) -> DataFrame:
     """(query_id, rank, `row_id`, score): the `k` best rows for each row that `is_query` marks.
 
