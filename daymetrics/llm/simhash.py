@@ -72,21 +72,15 @@ def _signed(x: int) -> int:
 
 
 def _keys(tables: Sequence[tuple[int, int]]) -> Column:
-    """One (table, masked fingerprint) for each table and its mask."""
-    return F.explode(
-        F.array(
-            *(
-                F.struct(F.lit(t).cast("int").alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(mask))).alias("k"))
-                for t, mask in tables
-            )
+    """An array of (table, masked fingerprint), one for each table and its mask."""
+    return F.array(
+        *(
+            F.struct(F.lit(t).cast("int").alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(mask))).alias("k"))
+            for t, mask in tables
         )
     )
 
 
-def _keyed(fps: DataFrame, tables: Sequence[tuple[int, int]]) -> DataFrame:
-    return fps.select("fp", _keys(tables).alias("key")).select("fp", "key.t", "key.k")
-
-
 def _stars(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """(root, member) pairs that connect what the links within the radius connect, at most one a
     member. Each fingerprint is compared with those that no component has taken yet."""
@@ -145,23 +139,14 @@ def links(fps: DataFrame, radius: int = 3, bucket_limit: int = 4096) -> DataFram
     open, so a bucket is bounded by 65,536 fingerprints whatever the input.
     """
     masks = covering_masks(range(BITS), radius)
-    first = list(enumerate(masks))
-    keyed = _keyed(fps, first)
+    keyed = fps.select("fp", F.explode(_keys(list(enumerate(masks)))).alias("key")).select("fp", "key.t", "key.k")
     hot = keyed.groupBy("t", "k").count().where(F.col("count") > bucket_limit).select("t", "k", F.lit(True).alias("hot"))
     marked = keyed.join(hot, ["t", "k"], "left")
-    finer = {}
-    for t, mask in first:
-        open_bits = [p for p in range(BITS) if not mask >> p & 1]
-        finer[t] = [(len(masks) * (t + 1) + i, mask | m) for i, m in enumerate(covering_masks(open_bits, radius))]
     again = F.lit(None)
-    for t, tables in finer.items():
-        keys = F.array(
-            *(
-                F.struct(F.lit(i).cast("int").alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("k"))
-                for i, m in tables
-            )
-        )
-        again = F.when(F.col("t") == t, keys).otherwise(again)
+    for t, mask in enumerate(masks):
+        open_bits = [p for p in range(BITS) if not mask >> p & 1]
+        finer = [(len(masks) * (t + 1) + i, mask | m) for i, m in enumerate(covering_masks(open_bits, radius))]
+        again = F.when(F.col("t") == t, _keys(finer)).otherwise(again)
     same = F.array(F.struct(F.col("t"), F.col("k")))
     dealt = marked.select("fp", F.explode(F.when(F.col("hot"), again).otherwise(same)).alias("key"))
     return (
