@@ -372,7 +372,7 @@ def extract(pages: DataFrame, html_column: str = "html") -> DataFrame:
         for batch in batches:
             yield pd.DataFrame([main_text(p) for p in batch], columns=["text", "kept", "found"])
 
-    new = {"text", "n_chars", "n_blocks", "n_content"}
+    new = {"text", "n_chars", "n_blocks", "n_content", "_got"}
     kept = [c for c in pages.columns if c.lower() not in new]
     got = F.col("_got")
     return pages.select(*kept, run(F.col(html_column).cast("string")).alias("_got")).select(

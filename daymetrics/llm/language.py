@@ -241,7 +241,7 @@ def predict(documents: DataFrame, net: Network, text: str = "text") -> DataFrame
                 }
             )
 
-    kept = [c for c in documents.columns if c.lower() not in {"lang_pred", "lang_score"}]
+    kept = [c for c in documents.columns if c.lower() not in {"lang_pred", "lang_score", "_found"}]
     found = F.col("_found")
     return documents.select(*kept, label(F.col(text).cast("string")).alias("_found")).select(
         *kept, found["lang"].alias("lang_pred"), found["score"].alias("lang_score")

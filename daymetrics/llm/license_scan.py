@@ -111,7 +111,7 @@ def scan(
             scores.append(F.when(dice >= threshold, F.struct(dice.alias("dice"), F.lit(-rank).alias("rank"))))
         return F.greatest(*scores) if len(scores) > 1 else scores[0]
 
-    new = {"license", "license_dice", "license_segments"}
+    new = {"license", "license_dice", "license_segments", "_fitting", "_s", "_best"}
     kept = [c for c in documents.columns if c.lower() not in new]
     whole = F.coalesce(F.col(text), F.lit(""))
     paragraphs = F.filter(F.split(whole, r"\n[ \t\r]*\n"), lambda p: p.contains("\n"))

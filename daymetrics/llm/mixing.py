@@ -101,11 +101,11 @@ def mix(
     The cells join the documents as a stored table, broadcast by Spark if that is below the
     session's threshold; a hot source is one cell row per language and topic.
     """
-    new = {"n_tokens", "topic", "weight", "probability", "copies"}
-    kept = [c for c in (columns or documents.columns) if c.lower() not in new]
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     keys = dict(keys or {"source": F.col("source"), "lang": F.col("lang"), "topic": topic_of(whole)})
     names = {k: f"_{k}" for k in keys}
+    new = {"n_tokens", "topic", "weight", "probability", "copies", *names.values(), *(f"_{n}" for n in names.values())}
+    kept = [c for c in (columns or documents.columns) if c.lower() not in new]
     rows = stored(
         documents.select(*kept, *(c.alias(names[k]) for k, c in keys.items()), F.regexp_count(whole, F.lit(WORD)).cast("long").alias("n_tokens"))
     )

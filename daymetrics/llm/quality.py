@@ -54,7 +54,7 @@ def statistics(documents: DataFrame, text: str = "text", columns: Sequence[str]
     windows are compared by a 64-bit hash. base_failed: under 50 words, or over half of them
     repeated.
     """
-    new = {*STATISTICS, "base_failed"}
+    new = {*STATISTICS, "base_failed", "_words", "_lines", "_windows", "_repeated"}
     kept = [c for c in (columns or documents.columns) if c.lower() not in new]
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     words = F.array_remove(F.split(F.translate(whole, BLANKS[1:], " " * (len(BLANKS) - 1)), " "), "")

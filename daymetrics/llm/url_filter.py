@@ -102,7 +102,7 @@ def judge(
             yield pd.DataFrame({"strict": [sorted(a) for a, _ in found], "soft": [sorted(b) for _, b in found]})
 
     host, path = host_and_path(F.col(url))
-    new = {"host", "path", "rule", "strict_hits", "soft_hits", "verdict"}
+    new = {"host", "path", "rule", "strict_hits", "soft_hits", "verdict", "_rule", "_terms"}
     kept = [c for c in pages.columns if c.lower() not in new]
     fits, terms = F.col("_rule"), F.col("_terms")
     by_terms = (F.size(terms["strict"]) >= 1) | (F.size(terms["soft"]) >= min_soft)

@@ -71,3 +71,13 @@ def test_empty_documents(spark):
         assert docs.count() == 0
         if "text" not in docs.columns:
             break
+
+
+def test_columns_of_any_name_come_through(spark):
+    """Extra columns named like what the operators add keep their values."""
+    docs = table(spark, SF, "documents")
+    names = ["kept", "lang_pred", "topic", "copies", "n_words", "_words", "_s", "n_tokens", "weight", "component_id"]
+    extra = docs.withColumns({n: P.F.concat(P.F.lit(n), P.F.col("doc_id").cast("string")) for n in names})
+    for _, stage in P.STAGES[:4]:
+        out = stage(spark, extra, SF)
+        assert out.columns == extra.columns and out.subtract(extra).count() == 0 and out.count() > 0

@@ -194,3 +194,12 @@ def test_html(frame, rows):
     assert got[:3] == [(1, "", 0), (2, "", 0), (3, "", 0)] or got[2][0] == 3
     assert got[3] == got[4] == (4, text, len(text))
     assert html_mincut.extract(pages.limit(0)).count() == 0
+
+
+def test_own_names_in_the_input_do_no_harm(odd_docs, frame):
+    names = ["_words", "_lines", "_windows", "_repeated", "_found", "_s", "_best", "_fitting", "_source", "__source", "_h", "_piece"]
+    docs = odd_docs.withColumns({n: F.lit(1) for n in names})
+    assert quality.statistics(docs).count() == license_scan.scan(docs).count() == mixing.mix(docs).count() == 8
+    assert shard_of(docs).count() == simhash.cluster(docs).count() == language.identify(docs).count() == 8
+    pages = frame("page_id long, url string, html string, _rule int, _terms int, _got int", [(1, "http://a.b/c", "<p>x", 1, 1, 1)])
+    assert url_filter.judge(pages, RULES).count() == html_mincut.extract(pages).count() == 1
