@@ -1,7 +1,11 @@
+import os
 import sys
 from pathlib import Path
 
-import pytest
+# Small matrices: threads would only wait for each other. Before numpy is loaded.
+os.environ.setdefault("OMP_NUM_THREADS", "1")
+
+import pytest  # noqa: E402
 
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
