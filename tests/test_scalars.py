@@ -122,7 +122,7 @@ def test_exercise_label(spark, code, label):
 
 
 def test_repeat_rows_over_a_block_border(spark):
-    counts = [1, 2, 65535, 65536, 65537, 200000]
+    counts = [1, 2, 1023, 1024, 1025, 65537, 200000]
     df = spark.createDataFrame([(n, n) for n in counts], "id int, copies long")
-    got = {r["id"]: r["count"] for r in R.repeat_rows(df, "copies").groupBy("id").count().collect()}
+    got = {r["id"]: r["count"] for r in R.repeat_rows(df, "copies", ["id"]).groupBy("id").count().collect()}
     assert got == {n: n for n in counts}
