@@ -38,6 +38,7 @@ def rake(
     targets: Mapping[str, DataFrame],
     tolerance: float = 1e-6,
     rounds: int = 60,
+    cap: float | None = None,
 ) -> tuple[DataFrame, float]:
     """(`cells` with weight, largest deviation of a marginal from its target).
 
@@ -47,29 +48,73 @@ def rake(
     cells are counts, not documents; they stay a distributed table that is aggregated (combined
     before the shuffle) and joined once a step, and stored once a round, so no plan grows. Cells
     whose key has no target, or a target of 0, get weight 0. Keys are compared null-safe.
+
+    With `cap` no weight is above it: cells at the cap count as fixed where a sum has to grow, so
+    the free ones make up for them within the same value, and the other marginals are raked on.
+    A column `weight` of `cells` is where raking starts.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0
-    now = stored(cells.withColumn("weight", F.lit(1.0 / max(total, 1))))
+    columns = [c for c in cells.columns if c != "weight"]
+    now = cells if "weight" in cells.columns else stored(cells.withColumn("weight", F.lit(1.0 / max(total, 1))))
+    bound = F.lit(float("inf") if cap is None else cap)
+    bounded, free = F.least("weight", bound) * F.col("tokens"), F.col("weight") < bound
     mass, worst = F.col("weight") * F.col("tokens"), 0.0
     for _ in range(rounds):
         deviations = []
         for key, target in targets.items():
-            sums = now.groupBy(key).agg(F.sum(mass).alias("sum"))
+            sums = now.groupBy(key).agg(
+                F.sum(bounded).alias("sum"), F.coalesce(F.sum(F.when(free, mass)), F.lit(0.0)).alias("free")
+            )
             goal = target.select(F.col(key).alias("_key"), "target")
+            aim = F.coalesce("target", F.lit(0.0))
             factor = sums.join(goal, F.col(key).eqNullSafe(F.col("_key")), "left").select(
                 F.col(key).alias("_key"),
-                F.when(F.col("sum") > 0, F.coalesce("target", F.lit(0.0)) / F.col("sum")).otherwise(0.0).alias("factor"),
-                F.abs(F.col("sum") - F.coalesce("target", F.lit(0.0))).alias("off"),
+                F.when((aim > F.col("sum")) & (F.col("free") > 0), (aim - F.col("sum")) / F.col("free") + 1.0)
+                .when(F.col("sum") > 0, aim / F.col("sum")).otherwise(0.0).alias("factor"),
+                F.abs(F.col("sum") - aim).alias("off"),
             )
             factor = stored(factor)
             deviations.append(factor.agg(F.max("off")).first()[0] or 0.0)
             now = now.join(factor.drop("off"), F.col(key).eqNullSafe(F.col("_key")), "left").select(
-                *cells.columns, (F.col("weight") * F.col("factor")).alias("weight")
+                *columns, (F.col("weight") * F.col("factor")).alias("weight")
             )
         now, worst = stored(now), max(deviations, default=0.0)
         if worst <= tolerance:
             break
-    return now, worst
+    return now.select(*columns, F.least("weight", bound).alias("weight")), worst
+
+
+def plan(
+    cells: DataFrame, targets: Mapping[str, DataFrame], rate: float, max_copies: int | None, tolerance: float = 1e-6
+) -> tuple[DataFrame, float, float]:
+    """(`cells` with weight and probability, the rate that they have, their largest deviation).
+
+    probability = rate x weight x all tokens, at most `max_copies`. Where the targets cannot be
+    had at `rate` with that bound, the rate is lowered: first to what the scarcest value's tokens
+    allow, with the weights raked under the bound; should that not converge, until the largest
+    probability of the unbounded weights is the bound. The marginals are those of the unbounded
+    weights at least, and the targets where raking converges.
+    """
+    total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
+    weighted, worst = rake(cells, targets, tolerance)
+    most = (weighted.agg(F.max("weight")).first()[0] or 0.0) * total
+    if max_copies is not None and rate * most > max_copies:
+        whole, bounded, off = max_copies / most, weighted, worst
+        if worst <= tolerance:
+            for key, target in targets.items():
+                held = cells.groupBy(key).agg(F.sum("tokens").alias("tokens"))
+                goal = target.where("target > 0").select(F.col(key).alias("_key"), "target")
+                scarce = held.join(goal, F.col(key).eqNullSafe(F.col("_key"))).agg(F.min(F.col("tokens") / F.col("target")))
+                rate = min(rate, max_copies * (scarce.first()[0] or 0.0) / total)
+            bounded, off = rake(weighted, targets, tolerance, cap=max_copies / (rate * total))
+        if off <= tolerance:
+            weighted, worst = bounded, off
+        else:
+            rate = min(rate, whole)
+    probability = F.col("weight") * F.lit(rate * total)
+    if max_copies is not None:
+        probability = F.least(F.lit(float(max_copies)), probability)  # for the last bit of the product
+    return weighted.withColumn("probability", probability), rate, worst
 
 
 def mix(
@@ -78,7 +123,7 @@ def mix(
     targets: Mapping[str, DataFrame] | None = None,
     exponents: Mapping[str, float] | None = None,
     rate: float = 0.5,
-    max_copies: int = 1,
+    max_copies: int | None = 1,
     text: str = "text",
     row_id: str = "doc_id",
     seed: int = 11,
@@ -90,10 +135,12 @@ def mix(
     the targets; by default each marginal is its own token shares to the power `exponents` (0.7),
     which lifts rare values over frequent ones. probability = `rate` x weight x all tokens is the
     expected number of copies, so the expected tokens of the sample are `rate` of all and have the
-    target marginals, exactly, as long as no cell exceeds `max_copies`; what it cuts off is
-    spread by raising the others, cell by cell. A document gets floor(probability) copies and one
-    more with the chance of the rest, decided by a hash of its id and `seed`: the same rows at
-    any partitioning.
+    target marginals. With `max_copies` None that holds whatever the cells. Else no document is
+    expected more often than that: cells are raked under the bound, and where the targets cannot
+    be had at `rate`, a lower one is taken (see `plan`), so the marginals hold all the same; what
+    was taken is sum(probability x n_tokens) / sum(n_tokens). A document gets floor(probability)
+    copies and one more with the chance of the rest, decided by a hash of its id and `seed`: the
+    same rows at any partitioning.
 
     Null keys are values of their own. Documents without a word have weight as any other of
     their cell but no tokens; a cell without any token gets probability 0. Repeated rows get the
@@ -119,12 +166,9 @@ def mix(
         }
     else:
         goals = {names[k]: t.withColumnRenamed(k, names[k]) for k, t in targets.items()}
-    weighted, _ = rake(cells, goals)
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
-    scale = _capped_scale(weighted, rate, float(total), max_copies)
-    expected = F.least(F.lit(float(max_copies)), F.col("weight") * F.lit(scale))
+    weighted, _, _ = plan(cells, goals, rate, max_copies)
     table = stored(
-        weighted.select(*(F.col(n).alias(f"_{n}") for n in names.values()), "weight", expected.alias("probability"))
+        weighted.select(*(F.col(n).alias(f"_{n}") for n in names.values()), "weight", "probability")
     )
     same = None
     for n in names.values():
@@ -139,20 +183,3 @@ def mix(
         *kept, "n_tokens", *topic, F.coalesce("weight", F.lit(0.0)).alias("weight"),
         probability.alias("probability"), copies.cast("int").alias("copies"),
     )
-
-
-def _capped_scale(weighted: DataFrame, rate: float, total: float, cap: float) -> float:
-    """The factor s for which sum(tokens x min(cap, s x weight)) is `rate` of all tokens."""
-    goal, scale = min(rate, cap) * total, rate * total
-    for _ in range(20):
-        over = F.col("weight") * F.lit(scale) > cap
-        fixed, free = weighted.agg(
-            F.sum(F.when(over, F.col("tokens") * cap)), F.sum(F.when(~over, F.col("tokens") * F.col("weight")))
-        ).first()
-        if not free or not fixed:
-            break
-        better = (goal - fixed) / free
-        if better <= scale * (1 + 1e-9):
-            break
-        scale = better
-    return scale

@@ -106,9 +106,9 @@ ORACLES["op2_certified_rules"] = quality.sql()
 
 @query
 def op4_raked_mix(spark, sf_dir):
-    """Every document's weight, probability and draw after raking to source, language and topic."""
+    """Every document's weight, expected and drawn copies after raking to source, language and topic."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    return mixing.mix(documents, columns=["doc_id", "source", "lang"])
+    return mixing.mix(documents, max_copies=None, columns=["doc_id", "source", "lang"])
 
 
 @query
