@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymetrics.llm import histogram_sort, html_mincut, language, license_scan, maxscore, mixing, packing, quality, simhash, url_filter
+from daymetrics.llm import filter_audit, histogram_sort, html_mincut, language, license_scan, maxscore, mixing, packing, quality, simhash, source_divergence, url_filter
 from daymetrics.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,3 +124,21 @@ ORACLES["op5_maxscore"] = maxscore.sql()
 def op1_html_mincut(spark, sf_dir):
     """Every page's main text."""
     return html_mincut.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op12_filter_folds(spark, sf_dir):
+    """What each of five filters removes at each step of all their orders, for each source."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op12_filter_folds"] = filter_audit.sql()
+
+
+@query
+def op13_source_tree(spark, sf_dir):
+    """How far each source's terms lie from the other sources of its language and from the language."""
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_source_tree"] = source_divergence.sql()
