@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymetrics.llm import filter_audit, histogram_sort, html_mincut, language, license_scan, maxscore, mixing, packing, quality, simhash, source_divergence, url_filter
+from daymetrics.llm import filter_audit, histogram_sort, html_mincut, language, license_scan, maxscore, mixing, ngram_join, packing, quality, simhash, source_divergence, url_filter
 from daymetrics.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,6 +126,12 @@ def op1_html_mincut(spark, sf_dir):
     return html_mincut.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+@query
+def op11_token_prefixes(spark, sf_dir):
+    """Every document's set of four-word shingles: its size and the component of its links."""
+    return ngram_join.cluster(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_filter_folds(spark, sf_dir):
     """What each of five filters removes at each step of all their orders, for each source."""
