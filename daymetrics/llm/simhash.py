@@ -175,10 +175,11 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
             )
         state = tuple(facts)
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # Stored, so that the join below has an exchange of its own, whose hot nodes Spark can split.
+        low = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         large = stored(large.distinct())
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = stored(large.groupBy("u").agg(F.min("v").alias("m")))
         joined = large.join(low, "u")
         small = joined.select("u", F.col("m").alias("v")).unionByName(
             joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
