@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +18,10 @@ TOPICS = {
     "numeric": r"\d[\d.,]*\D+\d[\d.,]*\D+\d",
 }
 OTHER = "general"
+#: How far a marginal may be off its target.
+TOLERANCE = 1e-6
+
+logger = logging.getLogger(__name__)
 
 
 def topic_of(text: Column, topics: Mapping[str, str] = TOPICS) -> Column:
@@ -36,7 +41,7 @@ def tempered(shares: DataFrame, key: str, exponent: float) -> DataFrame:
 def rake(
     cells: DataFrame,
     targets: Mapping[str, DataFrame],
-    tolerance: float = 1e-6,
+    tolerance: float = TOLERANCE,
     rounds: int = 60,
     cap: float | None = None,
 ) -> tuple[DataFrame, float]:
@@ -85,7 +90,7 @@ def rake(
 
 
 def plan(
-    cells: DataFrame, targets: Mapping[str, DataFrame], rate: float, max_copies: int | None, tolerance: float = 1e-6
+    cells: DataFrame, targets: Mapping[str, DataFrame], rate: float, max_copies: int | None, tolerance: float = TOLERANCE
 ) -> tuple[DataFrame, float, float]:
     """(`cells` with weight and probability, the rate that they have, their largest deviation).
 
@@ -129,7 +134,7 @@ def mix(
     seed: int = 11,
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Adds n_tokens, topic, weight, probability and copies to `columns` (default: all) of every row.
+    """Adds n_tokens, topic, weight, probability, copies and deviation to `columns` (default: all) of every row.
 
     Tokens are words of the whole text. Cells of source, language and topic (`keys`) are raked to
     the targets; by default each marginal is its own token shares to the power `exponents` (0.7),
@@ -140,7 +145,11 @@ def mix(
     be had at `rate`, a lower one is taken (see `plan`), so the marginals hold all the same; what
     was taken is sum(probability x n_tokens) / sum(n_tokens). A document gets floor(probability)
     copies and one more with the chance of the rest, decided by a hash of its id and `seed`: the
-    same rows at any partitioning.
+    same rows at any partitioning. Targets that the cells cannot have together are met as far as raking
+    comes in its rounds; `deviation` is how far a marginal of the weights is off, and a warning says so.
+
+    Rows that carry their texts along are read twice, so that no text is written here; others are
+    stored with what was found.
 
     Null keys are values of their own. Documents without a word have weight as any other of
     their cell but no tokens; a cell without any token gets probability 0. Repeated rows get the
@@ -151,11 +160,13 @@ def mix(
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     keys = dict(keys or {"source": F.col("source"), "lang": F.col("lang"), "topic": topic_of(whole)})
     names = {k: f"_{k}" for k in keys}
-    new = {"n_tokens", "topic", "weight", "probability", "copies", *names.values(), *(f"_{n}" for n in names.values())}
+    new = {"n_tokens", "topic", "weight", "probability", "copies", "deviation", *names.values(), *(f"_{n}" for n in names.values())}
     kept = [c for c in (columns or documents.columns) if c.lower() not in new]
-    rows = stored(
-        documents.select(*kept, *(c.alias(names[k]) for k, c in keys.items()), F.regexp_count(whole, F.lit(WORD)).cast("long").alias("n_tokens"))
+    rows = documents.select(
+        *kept, *(c.alias(names[k]) for k, c in keys.items()), F.regexp_count(whole, F.lit(WORD)).cast("long").alias("n_tokens")
     )
+    if text not in kept:
+        rows = stored(rows)
     cells = rows.groupBy(*names.values()).agg(F.sum("n_tokens").alias("tokens"))
     cells = stored(cells.where("tokens > 0"))
     if targets is None:
@@ -166,7 +177,9 @@ def mix(
         }
     else:
         goals = {names[k]: t.withColumnRenamed(k, names[k]) for k, t in targets.items()}
-    weighted, _, _ = plan(cells, goals, rate, max_copies)
+    weighted, _, deviation = plan(cells, goals, rate, max_copies)
+    if deviation > TOLERANCE:
+        logger.warning("raking did not settle: a marginal is %.3g off its target", deviation)
     table = stored(
         weighted.select(*(F.col(n).alias(f"_{n}") for n in names.values()), "weight", "probability")
     )
@@ -181,5 +194,5 @@ def mix(
     topic = [F.col(names["topic"]).alias("topic")] if "topic" in keys else []
     return rows.join(table, same, "left").select(
         *kept, "n_tokens", *topic, F.coalesce("weight", F.lit(0.0)).alias("weight"),
-        probability.alias("probability"), copies.cast("int").alias("copies"),
+        probability.alias("probability"), copies.cast("int").alias("copies"), F.lit(deviation).alias("deviation"),
     )
