@@ -11,13 +11,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymetrics.llm import language, mixing, near_copies, packing, quality
-from daymetrics.llm.common import stored, table
+from daymetrics.llm import language, mixing, packing, quality, simhash
+from daymetrics.llm.common import stored, table, without
 
 #: Mean probability of the likeliest language below which a text counts as none of them.
 LEAST_SCORE = 0.4
 TOKENIZER = "word_bpe_49k.json"
 WINDOW, END_ID = 2048, 1
+#: Words of a shingle, and the bits in which linked fingerprints may differ.
+SHINGLE, RADIUS = 3, 3
 #: Tokens to keep, as a share of those that reach the mixing stage; fewer where the targets cannot be
 #: had otherwise, as a document is kept once at most.
 RATE = 0.5
@@ -50,14 +52,19 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each component of linked near copies: the first of the stored rows.
+    """Keeps one document of each component of linked fingerprints: the smallest id.
 
-    Texts are linked from a Jaccard similarity of 0.8 of their five-word shingles on. Rows are numbered for this, so repeated rows and rows without an id count as documents too.
+    Rows are known by their doc_id. Where rows share one or have none, all are stored with a number
+    of their own instead, so each of them counts as a document.
     """
     row = "_row" + "_" * max((len(c) for c in docs.columns), default=0)
-    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()))
-    first = near_copies.cluster(rows, row).where(F.col(row) == F.col("component_id")).select(row)
-    return rows.join(first, row, "left_semi").select(docs.columns)
+    if docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").isEmpty():
+        rows = docs.withColumn(row, F.col("doc_id").cast("long"))
+    else:
+        rows = stored(docs.withColumn(row, F.monotonically_increasing_id()))
+    found = simhash.cluster(rows, row, radius=RADIUS, width=SHINGLE)
+    copies = stored(found.where(F.col(row) != F.col("component_id")).select(row))
+    return without(rows, copies, row).select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
