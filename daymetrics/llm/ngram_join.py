@@ -7,8 +7,11 @@ Frequent ones fall into groups, and k of one group are indexed together (k is 2,
 frequent): a group of m prefix tokens then counts as m - k + 1 only, and the prefix is extended
 until the counts add up to t + 1. Whatever t tokens are missing, a rare token or k tokens of one
 group are left, and these lie in the prefix of both sets: the prefix that ends earlier in the
-order is covered by the other one. Sets that share an indexed combination are candidates, and every
-link is verified on the whole sets.
+order is covered by the other one.
+
+Prefixes are extended by some more single tokens, in proportion to the size of the set: two sets
+then share as many more, so chance meetings in a token or two are no candidates. Sets that share
+enough, or a frequent combination, are; and every link is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -30,12 +33,17 @@ from daymetrics.llm.simhash import components
 #: Counters of token frequency, of fixed size whatever the input, and how many go into a row.
 COUNTERS, _ROW = 1 << 22, 1 << 16
 _SHIFT = np.uint64(64 - 22)
-#: A token is frequent from twice a counter's mean load and this many on; from LEVELS doublings more
-#: on, three of a group are indexed together.
-FREQUENT, LEVELS = 32, 3
+#: Occurrences, beyond what a counter holds of other tokens, from which a token is indexed with one more
+#: of its group, and with two more.
+PAIRED, TRIPLED = 64, 512
 #: A set of 2^j tokens or more, and less than twice as many, deals frequent tokens to 2^(j - 4) groups;
 #: smaller sets have no groups and index each token alone.
 _GROUP_BITS = 4
+#: Single tokens that linked sets must share: this many, and one more for each _EXTRA tokens.
+_SHARED, _EXTRA = 2, 48
+#: Sets of a key up to which all pairs are counted; longer lists connect neighbours and count as shared.
+_LIST = 8
+_ANY = 1 << 30
 #: Bits that say which sets are candidates: 8 MB.
 _SLOTS = 1 << 26
 #: Tokens verified together in one task; larger families are dealt out in pairs of blocks.
@@ -123,9 +131,31 @@ def _read(width: int):
     return read
 
 
-def _leveled(base: float):
-    def levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (at, counts) added by `at` and turned into a level a counter: 0 for rare tokens."""
+class Levels:
+    """The order of tokens: a level for each counter, 0 for the rarest tokens.
+
+    A counter holds other tokens too, about the mean `load`. Up to a few deviations above that a
+    token counts as rare; each doubling of what is above is a level. Levels of the most frequent
+    tokens have their combinations.
+    """
+
+    def __init__(self, load: float) -> None:
+        self.load, self.unit = load, 3 * load**0.5 + 3
+        self.of = np.zeros(COUNTERS, np.uint8)
+        self.paired, self.tripled = (int(self.level(np.array([load + x]))[0]) + 1 for x in (PAIRED, TRIPLED))
+
+    def level(self, counts: np.ndarray) -> np.ndarray:
+        above = np.maximum((counts - self.load) / self.unit, 2.0**-9)
+        return np.clip(np.floor(np.log2(above)) + 1, 0, 60).astype(np.uint8)
+
+    def together(self, level: int) -> int:
+        """How many tokens of this level's groups are indexed as one."""
+        return 1 if level < self.paired else 2 if level < self.tripled else 3
+
+
+def _leveled(levels: Levels):
+    def leveled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (at, counts) added by `at` and turned into a level a counter."""
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for at, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -133,20 +163,18 @@ def _leveled(base: float):
                 sums.setdefault(at, np.zeros(_ROW, np.int64))
                 sums[at] += np.frombuffer(counts, kind).astype(np.int64)
         if sums:
-            level = [np.clip(np.ceil(np.log2(np.maximum(s, 1) / base)), 0, 40).astype(np.uint8).tobytes() for s in sums.values()]
+            level = [levels.level(s).tobytes() for s in sums.values()]
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(level, pa.binary())], ["at", "levels"])
 
-    return levels
+    return leveled
 
 
-def token_levels(counters: DataFrame) -> np.ndarray:
+def token_levels(counters: DataFrame) -> Levels:
     """A level for each counter, from the counts of all texts: 4 MB, whatever the input."""
-    total = counters.agg(F.sum("n")).first()[0] or 0
-    base = float(2 * total // COUNTERS + FREQUENT)
-    parts = counters.select("at", "counts").repartition("at").mapInArrow(_leveled(base), "at int, levels binary")
-    levels = np.zeros(COUNTERS, np.uint8)
+    levels = Levels((counters.agg(F.sum("n")).first()[0] or 0) / COUNTERS)
+    parts = counters.select("at", "counts").repartition("at").mapInArrow(_leveled(levels), "at int, levels binary")
     for r in parts.collect():  # 64 rows
-        levels[r["at"] * _ROW : (r["at"] + 1) * _ROW] = np.frombuffer(r["levels"], np.uint8)
+        levels.of[r["at"] * _ROW : (r["at"] + 1) * _ROW] = np.frombuffer(r["levels"], np.uint8)
     return levels
 
 
@@ -162,25 +190,29 @@ def _divisions(n: int, percent: int) -> list[int]:
     return list(range(of(max(low, 1)), of(high) + 1))
 
 
-def signatures(tokens: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
-    """What a set is indexed by: rare prefix tokens, and hashed combinations of frequent ones."""
+def signatures(tokens: np.ndarray, levels: Levels, percent: int) -> tuple[np.ndarray, int]:
+    """What a set is indexed by, prefix tokens alone or hashed combinations of frequent ones, and how
+    much of it a set that links has as well (_ANY if that is only known to be something)."""
     n = len(tokens)
     needed = n - -(-n * percent // 100) + 1
-    level = levels[(tokens >> _SHIFT).view(np.int64)]
-    rare = tokens[level == 0]
-    if len(rare) >= needed:
-        return rare[:needed]
-    often = np.flatnonzero(level)
-    often = often[np.argsort(level[often], kind="stable")]  # by level, then by token
-    found = [rare]
+    share = _SHARED + n // _EXTRA
+    level = levels.of[(tokens >> _SHIFT).view(np.int64)]
+    single = np.flatnonzero(level < levels.paired)
+    order = np.argsort(level[single], kind="stable")  # by level, then by token
+    alone = tokens[single[order]][: needed + share - 1]
+    if len(alone) >= needed:
+        return alone, len(alone) - needed + 1
+    often = np.flatnonzero(level >= levels.paired)
+    often = often[np.argsort(level[often], kind="stable")]
+    found = [alone]
     for division in _divisions(n, percent):
+        left = needed - len(alone)
         if division < 0:
-            found.append(tokens[often[: needed - len(rare)]])
+            found.append(tokens[often[:left]])
             continue
         groups: dict[tuple[int, int], list[int]] = {}
-        left = needed - len(rare)
         for token, its_level in zip(tokens[often].tolist(), level[often].tolist(), strict=True):
-            k = 2 if its_level <= LEVELS else 3
+            k = levels.together(its_level)
             group = groups.setdefault((k, token & ((1 << division) - 1)), [])
             group.append(token)
             left -= len(group) >= k
@@ -194,94 +226,137 @@ def signatures(tokens: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarr
             for some in combinations(group, k)
         ]
         found.append(np.array(keys, np.uint64))
-    return np.concatenate(found)
+    return np.concatenate(found), _ANY
 
 
-def _indexed(levels: np.ndarray, width: int, percent: int):
+def _indexed(levels: Levels, width: int, percent: int):
     least = _smallest(percent)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(key, n, set): postings of each set of the task; `set` is the first half of its name."""
+        """(key, n, set, share): postings of each set of the task; `set` is the first half of its name."""
         seen = _Seen()
 
-        def out(keys: list[np.ndarray], sizes: list[int], sets: list[int]) -> pa.RecordBatch:
+        def out(keys: list[np.ndarray], of_sets: list[tuple[int, int, int]]) -> pa.RecordBatch:
             times = [len(k) for k in keys]
-            columns = [
-                pa.array(np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)),
-                pa.array(np.repeat(np.array(sizes, np.int32), times)), pa.array(np.repeat(np.array(sets, np.int64), times)),
-            ]
-            return pa.RecordBatch.from_arrays(columns, ["key", "n", "set"])
+            each = np.repeat(np.array(of_sets, np.int64).reshape(-1, 3), times, axis=0)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)),
+                    pa.array(each[:, 0].astype(np.int32)), pa.array(each[:, 1]), pa.array(each[:, 2].astype(np.int32)),
+                ],
+                ["key", "n", "set", "share"],
+            )
 
         for batch in batches:
-            keys, sizes, sets, held = [], [], [], 0
+            keys, of_sets, held = [], [], 0
             for text in batch.column(0):
                 tokens = tokens_of(text.as_py(), width)
                 if len(tokens) < least or not seen.first(name := _name(tokens)):
                     continue
-                keys.append(signatures(tokens, levels, percent))
-                sizes.append(len(tokens))
-                sets.append(int.from_bytes(name[:8], "big", signed=True))
-                held += len(keys[-1])
+                found, share = signatures(tokens, levels, percent)
+                keys.append(found)
+                of_sets.append((len(tokens), int.from_bytes(name[:8], "big", signed=True), share))
+                held += len(found)
                 if held > 1 << 19:
-                    yield out(keys, sizes, sets)
-                    keys, sizes, sets, held = [], [], [], 0
-            yield out(keys, sizes, sets)
+                    yield out(keys, of_sets)
+                    keys, of_sets, held = [], [], 0
+            yield out(keys, of_sets)
 
     return index
 
 
-def _chained(percent: int):
-    def chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (key, n, set) in order. (a, b): neighbours of one key whose sizes fit, which connect all
-        that fit. Also the first and the last row of the partition, to go on from there."""
-        part = TaskContext.get().partitionId()
-        first = last = None
-        names = ["a", "b", "part", "key", "n", "key_", "n_"]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
+def _listed(percent: int):
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
+    names = ["a", "b", "share", "part", "key", "n", "key_", "n_"]
+
+    def rows(a: np.ndarray, b: np.ndarray | None, share: np.ndarray) -> pa.RecordBatch:
+        there = [pa.array(a), pa.nulls(len(a), pa.int64()) if b is None else pa.array(b), pa.array(share.astype(np.int32))]
+        return pa.RecordBatch.from_arrays([*there, *(pa.nulls(len(a), k) for k in kinds[3:])], names)
+
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Postings (key, n, set, share) in order, to rows of three kinds, and the ends of the partition.
+
+        (a, b, share): a pair of one key whose sizes fit, and how many keys it must share. (a, b, 0):
+        neighbours in a long list, which connect all in it that fit. (a, null, count): long lists that
+        a set is in. A list that may go on in another partition is a long one.
+        """
+
+        def of(block: np.ndarray, first_long: bool, last_long: bool) -> Iterator[pa.RecordBatch]:
+            key, n, who, share = block.T
+            run = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
+            long = np.bincount(run) > _LIST
+            long[0] |= first_long
+            long[-1] |= last_long
+            for apart in range(1, _LIST):
+                if len(key) <= apart:
+                    break
+                fits = (run[apart:] == run[:-apart]) & (n[:-apart] * 100 >= n[apart:] * percent)
+                x, y = who[:-apart], who[apart:]
+                a, b, among = np.minimum(x, y), np.maximum(x, y), long[run[apart:]]
+                pair, most = fits & ~among, np.minimum(share[:-apart], share[apart:])
+                yield rows(a[pair], b[pair], np.where(most[pair] == _ANY, 1, most[pair]))
+                if apart == 1 and (chain := fits & among).any():
+                    a, b = np.unique(np.stack([a[chain], b[chain]]), axis=1)
+                    yield rows(a, b, np.zeros(len(a)))
+            if long.any():
+                sets, count = np.unique(who[long[run]], return_counts=True)
+                yield rows(sets, None, count)
+
+        held, first, last, open_long = np.empty((0, 4), np.int64), None, None, True
         for batch in batches:
-            if not batch.num_rows:
+            new = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in range(4)], axis=1)
+            if not len(new):
                 continue
-            key, n, who = (np.asarray(batch.column(c)) for c in range(3))
-            if last is None:
-                first = (key[0], n[0], who[0])
-            else:
-                key, n, who = (np.concatenate([[x], y]) for x, y in zip(last, (key, n, who), strict=True))
-            last = (key[-1], n[-1], who[-1])
-            fits = (key[1:] == key[:-1]) & (who[1:] != who[:-1]) & (n[:-1].astype(np.int64) * 100 >= n[1:].astype(np.int64) * percent)
-            a, b = who[:-1][fits], who[1:][fits]
-            pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-            rest = [pa.nulls(len(pair), k) for k in kinds[2:]]
-            yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1]), *rest], names)
-        if last is not None:
-            ends = (first[2], last[2], part, first[0], first[1], last[0], last[1])
-            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(map(int, ends), kinds, strict=True)], names)
-
-    return chained
+            first, last = new[0] if first is None else first, new[-1]
+            held = np.concatenate([held, new])
+            repeats = (held[1:, [0, 2]] == held[:-1, [0, 2]]).all(axis=1)
+            held = held[np.concatenate([[True], ~repeats])]
+            start = int(np.flatnonzero(np.concatenate([[True], held[1:, 0] != held[:-1, 0]]))[-1])
+            if start:
+                yield from of(held[:start], open_long, False)
+                held, open_long = held[start:], False
+            if len(held) > _LIST:  # goes on as a long list from its last row
+                yield from of(held, True, True)
+                held, open_long = held[-1:], True
+        if len(held):
+            yield from of(held, True, True)
+            ends = (first[2], last[2], 0, TaskContext.get().partitionId(), first[0], first[1], last[0], last[1])
+            yield pa.RecordBatch.from_arrays([pa.array([int(x)], k) for x, k in zip(ends, kinds, strict=True)], names)
+
+    return lists
 
 
 def candidates(postings: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of sets that connect all pairs of fitting sizes with a common key.
+    """(a, b): pairs of sets that connect all pairs of fitting sizes that share enough keys.
 
     Postings are dealt by ranges of (key, n, set), so those of a hot key lie in many tasks; the
-    ends of the ranges, two rows a task, are joined afterwards.
+    ends of the ranges, two rows a task, are joined afterwards. A pair counts the short lists it is
+    in, and might be in each long list that both its sets are in.
     """
     dealt = postings.repartitionByRange("key", "n", "set").sortWithinPartitions("key", "n", "set")
-    schema = "a long, b long, part int, key long, n int, key_ long, n_ int"
-    found = stored(dealt.mapInArrow(_chained(percent), schema))
+    schema = "a long, b long, share int, part int, key long, n int, key_ long, n_ int"
+    found = stored(dealt.select("key", "n", "set", "share").mapInArrow(_listed(percent), schema))
     ends = sorted(found.where("part IS NOT NULL").collect(), key=lambda r: r["part"])
     across = [
         (x["b"], y["a"])
         for x, y in zip(ends, ends[1:], strict=False)
         if x["key_"] == y["key"] and x["b"] != y["a"] and x["n_"] * 100 >= y["n"] * percent
     ]
-    pairs = found.where("part IS NULL").select("a", "b")
-    return pairs.unionByName(postings.sparkSession.createDataFrame(across, "a long, b long")) if across else pairs
-
-
-def _marked(families: DataFrame) -> np.ndarray:
+    rows = found.where("part IS NULL")
+    chains = rows.where("share = 0").select("a", "b").distinct()
+    pairs = rows.where("share > 0 AND b IS NOT NULL").groupBy("a", "b").agg(F.count(F.lit(1)).alias("got"), F.min("share").alias("share"))
+    long = rows.where("b IS NULL").groupBy("a").agg(F.sum("share").alias("long"))
+    more = lambda x: long.select(F.col("a").alias(x), F.col("long").alias(f"_{x}"))
+    might = F.least(F.coalesce("_a", F.lit(0)), F.coalesce("_b", F.lit(0)))
+    enough = pairs.join(more("a"), "a", "left").join(more("b"), "b", "left").where(F.col("got") + might >= F.col("share"))
+    linked = chains.unionByName(enough.select("a", "b"))
+    return linked.unionByName(postings.sparkSession.createDataFrame(across, "a long, b long")) if across else linked
+
+
+def _marked(members: DataFrame) -> np.ndarray:
     """One bit for each slot that a candidate's hash falls on: 8 MB, whatever the input."""
     slot = F.col("set").bitwiseAND(F.lit(_SLOTS - 1)) + 1
-    made = families.groupBy(F.bitmap_bucket_number(slot).alias("at")).agg(
+    made = members.groupBy(F.bitmap_bucket_number(slot).alias("at")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")
     )
     bits = np.zeros(_SLOTS // 8, np.uint8)
@@ -290,9 +365,9 @@ def _marked(families: DataFrame) -> np.ndarray:
     return bits
 
 
-def _fetched(bits: np.ndarray, width: int):
+def _fetched(bits: np.ndarray, width: int, short: bool):
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(name, tokens) of the sets whose bit is set."""
+        """(name, tokens) of the sets whose bit is set; two bytes of each token, or all eight."""
         seen = _Seen()
         for batch in batches:
             names, sets = [], []
@@ -302,12 +377,19 @@ def _fetched(bits: np.ndarray, width: int):
                 slot = int.from_bytes(name[:8], "big") & (_SLOTS - 1)
                 if len(tokens) and bits[slot >> 3] >> (slot & 7) & 1 and seen.first(name):
                     names.append(name)
-                    sets.append(tokens.tobytes())
+                    sets.append((np.sort(tokens.astype(np.uint16)) if short else tokens).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(sets, pa.binary())], ["name", "tokens"])
 
     return fetch
 
 
+def numbered(values: np.ndarray) -> np.ndarray:
+    """Sorted values made distinct by the number of equal ones before each."""
+    starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+    before = np.arange(len(values)) - np.repeat(starts, np.diff(np.append(starts, len(values))))
+    return values.astype(np.uint64) | before.astype(np.uint64) << np.uint64(16)
+
+
 def exact_links(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """(root, member) pairs that connect what the links among the sets connect, at most one a member.
 
@@ -344,46 +426,64 @@ def exact_links(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tu
     return edges
 
 
-def _verified(percent: int):
+def _verified(percent: int, short: bool):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows (label, i, j, id, tokens) in order; a group may go on in the next batch."""
-        group, ids, sets = None, [], []
+        group, sets = None, {}
 
         def out() -> pa.RecordBatch:
-            pairs = np.array(exact_links(ids, sets, percent) if len(ids) > 1 else [], np.int64).reshape(-1, 2)
+            found = exact_links(list(sets), list(sets.values()), percent) if len(sets) > 1 else []
+            pairs = np.array(found, np.int64).reshape(-1, 2)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
         for batch in batches:
             heads = zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True)
             for (label, i, j, which), tokens in zip(heads, batch.column(4), strict=True):
                 if (label, i, j) != group:
-                    if ids:
+                    if sets:
                         yield out()
-                    group, ids, sets = (label, i, j), [], []
-                ids.append(which)
-                sets.append(np.frombuffer(tokens.as_buffer(), np.uint64).copy())
-        if ids:
+                    group, sets = (label, i, j), {}
+                if which not in sets:  # copies read by several tasks
+                    held = np.frombuffer(tokens.as_buffer(), np.uint16 if short else np.uint64)
+                    sets[which] = numbered(held) if short else held.copy()
+        if sets:
             yield out()
 
     return verify
 
 
-def verified_links(members: DataFrame, percent: int, family_tokens: int = FAMILY_TOKENS) -> DataFrame:
-    """(a, b): links by id that have the components of all links within each family.
+def dealt_families(members: DataFrame, family_tokens: int = FAMILY_TOKENS) -> DataFrame:
+    """`members` (label, id, n, ...) with `i` and `j`: the two blocks of the family whose sets a row meets.
 
-    `members` has (label, id, n, tokens). A family of more than `family_tokens` tokens is dealt to
-    blocks by a hash, and each two blocks meet in one task; no task holds more than about two.
+    A family of more than `family_tokens` tokens is dealt to blocks by a hash, and each two blocks
+    meet once; no group holds more than about twice as many tokens.
     """
-    sizes = members.groupBy("label").agg(F.ceil(F.sum("n") / F.lit(family_tokens)).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: (x != F.col("block")) | (F.col("blocks") == 1))
-    dealt = (
+    sizes = members.groupBy("label").agg(F.ceil(F.sum("n") / F.lit(family_tokens)).cast("int").alias("_blocks"))
+    block, blocks = F.col("_block"), F.col("_blocks")
+    others = F.filter(F.sequence(F.lit(0), blocks - 1), lambda x: (x != block) | (blocks == 1))
+    return (
         members.join(sizes, "label")
-        .withColumn("block", block)
-        .withColumn("other", F.explode(others))
-        .select("label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "tokens")
+        .withColumn("_block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+        .withColumn("_other", F.explode(others))
+        .select(*members.columns, F.least("_block", "_other").alias("i"), F.greatest("_block", "_other").alias("j"))
     )
-    return dealt.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j").mapInArrow(_verified(percent), "a long, b long")
+
+
+def verified_links(dealt: DataFrame, percent: int, short: bool = False) -> DataFrame:
+    """(a, b): links by id that have the components of all links within each group (label, i, j)."""
+    rows = dealt.select("label", "i", "j", "id", "tokens").repartition("label", "i", "j")
+    return rows.sortWithinPartitions("label", "i", "j").mapInArrow(_verified(percent, short), "a long, b long")
+
+
+def linked(texts: DataFrame, members: DataFrame, width: int, percent: int, short: bool) -> DataFrame:
+    """(id, label): components of the links among the members of each family.
+
+    With `short` tokens are compared by two bytes. Sets have at least as many of these in common as
+    of the tokens, so what that links holds all links, and families shrink before whole tokens move.
+    """
+    tokens = texts.mapInArrow(_fetched(_marked(members), width, short), "name binary, tokens binary")
+    dealt = stored(dealt_families(members)).join(tokens, "name")
+    return components(verified_links(dealt, percent, short)).withColumnRenamed("node", "id")
 
 
 def cluster(
@@ -410,17 +510,18 @@ def cluster(
     levels = token_levels(read.where("at IS NOT NULL"))
     sets = rows.where("n > 0").groupBy("name").agg(F.min("id").alias("first"), F.first("n").alias("n"))
     unique = stored(sets.withColumn("id", F.monotonically_increasing_id()))
-    index = body.select("text").mapInArrow(_indexed(levels, width, percent), "key long, n int, set long")
-    families = components(candidates(stored(index), percent)).withColumnRenamed("node", "set")
-    families = stored(families)
-    tokens = body.select("text").mapInArrow(_fetched(_marked(families), width), "name binary, tokens binary")
+    index = body.select("text").mapInArrow(_indexed(levels, width, percent), "key long, n int, set long, share int")
+    families = stored(components(candidates(stored(index), percent)).withColumnRenamed("node", "set"))
     half = F.conv(F.hex(F.substr("name", F.lit(1), F.lit(8))), 16, -10).cast("long")
-    named = stored(unique.withColumn("set", half).join(families, "set").select("name", "label", "id", "n"))
-    members = stored(stored(tokens).join(named, "name").dropDuplicates(["id"]).select("label", "id", "n", "tokens"))
-    linked = components(verified_links(members, percent)).withColumnRenamed("node", "id")
-    labelled = unique.join(linked, "id", "left").select("name", "first", F.coalesce("label", "id").alias("label"))
+    sets = unique.withColumn("set", half)
+    members = stored(sets.join(families, "set").select("name", "set", "label", "id", "n"))
+    texts = body.select("text")
+    likely = linked(texts, members, width, percent, short=True)
+    members = stored(sets.join(likely, "id").select("name", "set", "label", "id", "n"))
+    found = linked(texts, members, width, percent, short=False)
+    labelled = unique.join(found, "id", "left").select("name", "first", F.coalesce("label", "id").alias("label"))
     smallest = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
     of_set = stored(labelled.join(smallest, "label").select("name", "component_id"))
-    found = rows.where("n > 0").join(of_set, "name").select("id", "n", "component_id")
+    with_words = rows.where("n > 0").join(of_set, "name").select("id", "n", "component_id")
     alone = rows.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
-    return found.unionByName(alone).select(F.col("id").alias(row_id), F.col("n").alias("n_shingles"), "component_id")
+    return with_words.unionByName(alone).select(F.col("id").alias(row_id), F.col("n").alias("n_shingles"), "component_id")
