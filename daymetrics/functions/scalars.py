@@ -59,6 +59,29 @@ def thousandth(x: Column) -> Column:
     return x / F.lit(1000.0)
 
 
+# --- sums ------------------------------------------------------------------------------
+
+#: Sizes below this are added without loss, down to a 2^60th.
+_EXACT_BELOW = 2.0**32
+
+
+def exact_sum(x: Column) -> Column:
+    """Sum of doubles (an aggregate) that does not depend on the order of rows.
+
+    Each value is split into two whole numbers, multiples of 2^-20 and the rest in multiples of
+    2^-60; both are added as such and the total is rounded once. A value that is not finite has
+    the sum it has in any order: NaN, or an infinity, or NaN for both of these. Finite values of
+    4.3 billion and more, which no reading is, are added as doubles. NULLs are left out.
+    """
+    plain = F.abs(x) < _EXACT_BELOW  # false for NaN, which is above all numbers
+    whole = F.floor(x * 2.0**20)
+    rest = ((x * 2.0**20 - whole) * 2.0**40).cast("long")
+    high, low = (F.sum(F.when(plain, part).cast("decimal(20,0)")) for part in (whole, rest))
+    exact = (high * F.lit(1 << 40).cast("decimal(13,0)") + low).cast("double") / 2.0**60
+    others = F.sum(F.when(~plain, x))
+    return F.when(others.isNull(), exact).otherwise(others + F.coalesce(exact, F.lit(0.0)))
+
+
 # --- rounding --------------------------------------------------------------------------
 
 def round_half_away(x: Column, digits: int) -> Column:

@@ -173,9 +173,10 @@ def calories(
 ) -> DataFrame:
     """Active energy per day from the watch, in thousands of the raw unit.
 
-    Summed through a decimal of six places: exact, so it does not depend on the order of rows.
+    The sum does not depend on the order of rows; a reading that is not a number makes the day's
+    energy none, as it does in SQL.
     """
-    energy = F.sum(F.col("energy").cast("decimal(32,6)")).cast("double")
+    energy = S.exact_sum(F.col("energy"))
     days = _dated(from_source(df, source_id), keys).groupBy(*keys, DAY).agg(energy.alias("e"))
     return _publish(
         days, keys, iso, active_kcal=S.round_half_away(S.thousandth(F.col("e")), 1)
@@ -210,10 +211,10 @@ def spo2(
 ) -> DataFrame:
     """Mean (two decimals) and minimum (as read) of the plausible oxygen readings.
 
-    The mean's sum goes through a decimal of nine places, as that of the calories.
+    A reading that is not a number is above every minimum, counts, and makes the mean none.
     """
     pct = F.col("percentage")
-    mean = F.sum(pct.cast("decimal(28,9)")).cast("double") / F.count(pct)
+    mean = S.exact_sum(pct) / F.count(pct)
     days = (
         _dated(plausible_oxygen(df, min_pct), keys)
         .groupBy(*keys, DAY)

@@ -299,6 +299,16 @@ for _table in ("sleep", "steps", "calories", "exercise", "heart_rate", "spo2", "
     query(_silver_edges(_table))
 
 
+@query
+def silver_calories_extremes(spark, sf_dir):
+    return silver.calories(sample.extremes(spark, sf_dir, "active_calories_burned_record_table"), KEYS)
+
+
+@query
+def silver_spo2_extremes(spark, sf_dir):
+    return silver.spo2(sample.extremes(spark, sf_dir, "oxygen_saturation_record_table"), KEYS)
+
+
 @query
 def dominant_workout_ties(spark, sf_dir):
     by_type = silver.exercise_by_type(sample.edges(spark, sf_dir)["exercise_session_record_table"], KEYS)
@@ -449,7 +459,25 @@ def analysis_messages(spark, sf_dir):
 @query
 def bronze_status(spark, sf_dir):
     root, sources = stored_sources(spark, sf_dir)
-    return bronze.load(spark, sources, root)
+    return bronze.load(spark, sources, root).drop("malformed")
+
+
+@query
+def bronze_malformed_rows(spark, sf_dir):
+    """Steps from CSV and energy from JSON with damaged records among them: what was loaded, and what not."""
+    root = session.work_dir(spark)
+    damaged = (F.col("user_id") + F.col(DAY)) % 10 == 0
+    steps, energy = raw(spark, sf_dir, "steps_record_table"), raw(spark, sf_dir, "active_calories_burned_record_table")
+    line = F.concat_ws(",", "user_id", DAY, "app_info_id", F.concat(F.when(damaged, "x").otherwise(""), "count"))
+    steps.select(line.alias("value")).write.text(f"{root}/export/steps")
+    whole = F.format_string('{"user_id":%d,"local_date":%d,"app_info_id":%d,"energy":%d', "user_id", DAY, "app_info_id", F.col("energy").cast("long"))
+    energy.select(F.concat(whole, F.when(damaged, "").otherwise("}")).alias("value")).write.text(f"{root}/export/energy")
+    sources = {
+        "steps_record_table": bronze.Source(f"{root}/export/steps", "csv", {}, steps.schema),
+        "active_calories_burned_record_table": bronze.Source(f"{root}/export/energy", "json", {}, energy.schema),
+    }
+    status = bronze.load(spark, sources, root).where("error IS NULL").select("source_table", "rows", "malformed")
+    return status.join(bronze.malformed(spark, root), "source_table", "left")
 
 
 @query

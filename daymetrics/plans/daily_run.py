@@ -67,6 +67,8 @@ def run(
     for r in loaded:
         there = LAST_RUN if r.source_table in raw else EMPTY
         status.append(("bronze", r.source_table, r.rows, r.error, there if r.error else None))
+        if r.malformed:
+            logger.warning("%d malformed records in %s", r.malformed, r.source_table)
     check()
     if not raw:
         raise RuntimeError("no raw table has been loaded yet")

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,9 +14,11 @@ from daymetrics import constants as K
 from daymetrics import schemas
 from daymetrics.sources import tables
 
-STATUS = "source_table STRING, rows BIGINT, error STRING"
+STATUS = "source_table STRING, rows BIGINT, error STRING, malformed BIGINT"
 # Formats whose columns carry no types of their own.
 TEXT_FORMATS = {"csv", "json"}
+#: Holds a record as read where it does not fit the schema.
+MALFORMED = "_malformed"
 
 
 @dataclass(frozen=True)
@@ -34,16 +36,36 @@ class Source:
     schema: T.StructType | str | None = None
 
 
-def scan(spark: SparkSession, source: Source | str, table: str) -> DataFrame:
-    """The whole source table, all columns; the required ones must be there."""
+def _text_schema(spark: SparkSession, src: Source, required: T.StructType) -> T.StructType:
+    """The declared schema, or the inferred one with declared types where only text was seen."""
+    if src.schema is not None:
+        return T.StructType.fromDDL(src.schema) if isinstance(src.schema, str) else T.StructType(list(src.schema))
+    seen = spark.read.format(src.format).options(**src.options).load(src.path).schema
+    types = {f.name: f.dataType for f in required}
+    text = T.StringType()
+    return T.StructType([T.StructField(f.name, types.get(f.name, text) if f.dataType == text else f.dataType) for f in seen])
+
+
+def scan(spark: SparkSession, source: Source | str, table: str, keep_malformed: bool = False) -> DataFrame:
+    """The whole source table, all columns; the required ones must be there.
+
+    A record of a text format that does not fit its schema ends the query; with `keep_malformed` it
+    stays, with the record as read in the column MALFORMED, which is null in all others.
+    """
     src = Source(source) if isinstance(source, str) else source
     reader = spark.read.format(src.format).options(**src.options)
+    required = schemas.BRONZE[table]
+    if src.format in TEXT_FORMATS:
+        schema = _text_schema(spark, src, required)
+        if keep_malformed:
+            schema = schema.add(MALFORMED, T.StringType())
+            reader = reader.option("columnNameOfCorruptRecord", MALFORMED).option("mode", "PERMISSIVE")
+        elif "mode" not in src.options:
+            reader = reader.option("mode", "FAILFAST")
+        return schemas.conform(reader.schema(schema).load(src.path), required)
     if src.schema is not None:
         reader = reader.schema(src.schema)
     df = reader.load(src.path) if src.path else reader.load()
-    required = schemas.BRONZE[table]
-    if src.format in TEXT_FORMATS:
-        return schemas.conform(df, required)
     lacking = schemas.missing_columns(df, required)
     if lacking:
         raise ValueError(f"missing columns: {', '.join(lacking)}")
@@ -56,22 +78,27 @@ def load(
     """Store every raw table under <target>/bronze and report rows or error per table.
 
     A table that cannot be read keeps its last stored version, and the others go on; the
-    status says so, for the caller to decide. The writes are independent Spark jobs and
-    run a few at a time.
+    status says so, for the caller to decide. Malformed records of text formats are stored next to
+    the others and counted apart, in the same pass; `read` leaves them out, `malformed` has them.
+    The writes are independent Spark jobs and run a few at a time.
     """
 
-    def store(table: str) -> tuple[str, tables.Version | None, str | None]:
+    def store(table: str) -> tuple[str, tables.Version | None, int | None, str | None]:
         try:
             if table not in sources:
                 raise KeyError(f"no source for {table}")
-            return table, tables.write(scan(spark, sources[table], table), target, "bronze", table), None
+            df = scan(spark, sources[table], table, keep_malformed=True)
+            bad = F.count_if(F.col(MALFORMED).isNotNull()) if MALFORMED in df.columns else F.lit(0).cast("long")
+            counted = Observation()
+            made = tables.write(df.observe(counted, F.count(F.lit(1)).alias("n"), bad.alias("bad")), target, "bronze", table)
+            return table, made, counted.get["bad"], None
         except Exception as error:  # noqa: BLE001 - isolated per table, reported
-            return table, None, first_line(error)
+            return table, None, None, first_line(error)
 
     with ThreadPoolExecutor(parallel) as pool:
         done = list(pool.map(store, K.RAW_TABLES))
-    tables.publish(spark, target, [made for _, made, _ in done if made])
-    status = [(table, made.rows if made else None, error) for table, made, error in done]
+    tables.publish(spark, target, [made for _, made, _, _ in done if made])
+    status = [(table, made.rows - bad if made else None, error, bad) for table, made, bad, error in done]
     return spark.createDataFrame(status, STATUS)
 
 
@@ -80,12 +107,29 @@ def first_line(error: Exception) -> str:
     return f"{type(error).__name__}: {lines[0] if lines else ''}"
 
 
-def read(spark: SparkSession, target: str) -> dict[str, DataFrame]:
-    """The stored raw tables that exist."""
+def _stored(spark: SparkSession, target: str) -> dict[str, DataFrame]:
     stored = tables.current(spark, target, "bronze")
     return {t: spark.read.parquet(stored["bronze", t]) for t in K.RAW_TABLES if ("bronze", t) in stored}
 
 
+def read(spark: SparkSession, target: str) -> dict[str, DataFrame]:
+    """The stored raw tables that exist, without their malformed records."""
+    found = _stored(spark, target)
+    return {
+        t: df.where(F.col(MALFORMED).isNull()).drop(MALFORMED) if MALFORMED in df.columns else df for t, df in found.items()
+    }
+
+
+def malformed(spark: SparkSession, target: str) -> DataFrame:
+    """(source_table, record): the malformed records of all stored raw tables, as they were read."""
+    out = spark.createDataFrame([], "source_table STRING, record STRING")
+    for table, df in _stored(spark, target).items():
+        if MALFORMED in df.columns:
+            kept = df.where(F.col(MALFORMED).isNotNull())
+            out = out.unionByName(kept.select(F.lit(table).alias("source_table"), F.col(MALFORMED).alias("record")))
+    return out
+
+
 def snapshots(spark: SparkSession, folder: str, glob: str = "*.zip", folders: bool = False) -> DataFrame:
     """The exports below a folder with their modification time.
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 AS_OF = "2024-02-05"
 KEYS = ["user_id"]
@@ -116,6 +117,19 @@ EDGES = {
         "true",
     ),
 }
+#: The same for measures that are added up: not a number, infinite, and with twelve decimals.
+EXTREMES = {
+    "active_calories_burned_record_table": (
+        "energy",
+        "CASE WHEN event_id % 101 = 0 THEN CAST('NaN' AS DOUBLE) WHEN event_id % 103 = 0 THEN CAST('Infinity' AS DOUBLE)"
+        " WHEN event_id % 107 = 0 THEN CAST('-Infinity' AS DOUBLE) ELSE energy + event_id / 1000000000000D END",
+    ),
+    "oxygen_saturation_record_table": (
+        "percentage",
+        "CASE WHEN event_id % 101 = 0 THEN CAST('NaN' AS DOUBLE) WHEN event_id % 103 = 0 THEN CAST('Infinity' AS DOUBLE)"
+        " ELSE percentage + event_id / 1000000000000D END",
+    ),
+}
 #: Users are few enough that several records fall on one day of one user.
 EDGE_EVENTS = [
     "event_id",
@@ -172,6 +186,15 @@ def edges(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return made
 
 
+def extremes(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A raw table with edge cases whose measure is at times not finite or has many decimals."""
+    kinds, columns, _ = EDGES[table]
+    name, measure = EXTREMES[table]
+    wanted = ", ".join(f"'{k}'" for k in kinds)
+    found = _events(spark, sf_dir).selectExpr(*EDGE_EVENTS).where(f"event_type IN ({wanted})")
+    return found.selectExpr("event_id", *columns).withColumn(name, F.expr(measure)).drop("event_id")
+
+
 def bronze(
     spark: SparkSession,
     sf_dir: str,

@@ -18,6 +18,13 @@ def exact(x: str, digits: int) -> str:
     return f"CAST(printf('%.{digits}f', {x}) AS DOUBLE)"
 
 
+def added(x: str) -> str:
+    """Sum of doubles as one whole number of 2^-60ths; of what is not finite, whatever the engine makes of it."""
+    finite = f"SUM(CAST(CASE WHEN isfinite({x}) THEN trunc({x} * pow(2::DOUBLE, 60)) END AS HUGEINT))"
+    other = f"SUM({x}) FILTER (NOT isfinite({x}))"
+    return f"(CASE WHEN {other} IS NULL THEN CAST({finite} AS DOUBLE) / pow(2::DOUBLE, 60) ELSE {other} END)"
+
+
 RAW = """
 ev AS (
   SELECT event_id, user_id, event_type,
@@ -102,6 +109,18 @@ weight_all AS (
     + ",\nsleep_stages AS (SELECT * FROM sleep_stages_all WHERE user_id IS NOT NULL)\n"
 )
 
+#: Added measures that are not finite at times, or have twelve decimals.
+_ODD = "CASE WHEN event_id % 101 = 0 THEN CAST('NaN' AS DOUBLE) WHEN event_id % 103 = 0 THEN CAST('Infinity' AS DOUBLE)"
+_TINY = "+ event_id / CAST(1000000000000 AS DOUBLE) END"
+EXTREMES = EDGES.replace(
+    "CASE WHEN event_id % 23 <> 0 THEN cv * 97 / CAST(10 AS DOUBLE) END AS energy",
+    f"{_ODD} WHEN event_id % 107 = 0 THEN CAST('-Infinity' AS DOUBLE) ELSE"
+    f" CASE WHEN event_id % 23 <> 0 THEN cv * 97 / CAST(10 AS DOUBLE) END {_TINY} AS energy",
+).replace(
+    "CASE WHEN event_id % 9 <> 0 THEN 84 + cv % 20 / CAST(7 AS DOUBLE) END AS percentage",
+    f"{_ODD} ELSE CASE WHEN event_id % 9 <> 0 THEN 84 + cv % 20 / CAST(7 AS DOUBLE) END {_TINY} AS percentage",
+)
+
 LABEL = (
     "CASE {0} WHEN 45 THEN 'Fuerza' WHEN 53 THEN 'Running' WHEN 58 THEN 'Senderismo' ELSE 'Otro' END"
 )
@@ -148,7 +167,7 @@ silver_steps AS (
   SELECT {k}{iso('local_date')} AS local_date, CAST(SUM(count) AS INTEGER) AS steps
   FROM steps WHERE app_info_id = 4 GROUP BY {k}steps.local_date HAVING SUM(count) > 0),
 silver_calories AS (
-  SELECT {k}{iso('local_date')} AS local_date, round(CAST(SUM(CAST(energy AS DECIMAL(32,6))) AS DOUBLE) / CAST(1000 AS DOUBLE), 1) AS active_kcal
+  SELECT {k}{iso('local_date')} AS local_date, round({added('energy')} / CAST(1000 AS DOUBLE), 1) AS active_kcal
   FROM active_calories WHERE app_info_id = 4 GROUP BY {k}active_calories.local_date),
 by_type AS (
   SELECT {k}{iso('local_date')} AS local_date, exercise_type, COUNT(*) AS workouts,
@@ -166,7 +185,7 @@ silver_heart_rate AS (
   SELECT {k}{iso('local_date')} AS local_date, CAST(MIN(beats_per_minute) AS INTEGER) AS resting_hr
   FROM resting_hr WHERE beats_per_minute <= 100 GROUP BY {k}resting_hr.local_date),
 silver_spo2 AS (
-  SELECT {k}{iso('local_date')} AS local_date, round(CAST(SUM(CAST(percentage AS DECIMAL(28,9))) AS DOUBLE) / COUNT(percentage), 2) AS spo2_avg,
+  SELECT {k}{iso('local_date')} AS local_date, round({added('percentage')} / COUNT(percentage), 2) AS spo2_avg,
          MIN(percentage) AS spo2_min
   FROM spo2 WHERE percentage >= 85 GROUP BY {k}spo2.local_date),
 reading AS (
@@ -465,6 +484,7 @@ ORACLES: dict[str, str] = {
         f"silver_{t}_edges": over(EDGES, SILVER, select=f"SELECT * FROM silver_{t}")
         for t in ["sleep", "steps", "calories", "exercise", "heart_rate", "spo2", "weight"]
     },
+    **{f"silver_{t}_extremes": over(EXTREMES, SILVER, select=f"SELECT * FROM silver_{t}") for t in ["calories", "spo2"]},
     "dominant_workout_ties": over(
         EDGES,
         SILVER,
@@ -485,6 +505,17 @@ ORACLES: dict[str, str] = {
         SILVER,
         select="""SELECT user_id, local_date, steps, active_kcal
   FROM silver_steps FULL OUTER JOIN silver_calories USING (user_id, local_date)""",
+    ),
+    "bronze_malformed_rows": over(
+        RAW,
+        select="""SELECT source_table, count(*) FILTER (NOT damaged) OVER (PARTITION BY source_table) AS rows,
+  count(*) FILTER (damaged) OVER (PARTITION BY source_table) AS malformed, record FROM (
+  SELECT 'steps_record_table' AS source_table, (user_id + local_date) % 10 = 0 AS damaged,
+         user_id || ',' || local_date || ',' || app_info_id || ',x' || count AS record FROM steps
+  UNION ALL SELECT 'active_calories_burned_record_table', (user_id + local_date) % 10 = 0,
+         '{"user_id":' || user_id || ',"local_date":' || local_date || ',"app_info_id":' || app_info_id
+         || ',"energy":' || CAST(energy AS BIGINT) FROM active_calories)
+QUALIFY damaged""",
     ),
     "bronze_status_broken": over(
         RAW,

@@ -185,3 +185,26 @@ def test_a_declared_schema_needs_no_look_at_the_data(spark, tmp_path):
     assert tracker.getJobIdsForGroup("inferred")
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert got.dtypes == steps.dtypes
+
+
+def test_malformed_records_are_kept_apart(spark, tmp_path, rows):
+    """A bad number, a short and a long line; half an object and a wrong type."""
+    (tmp_path / "steps.csv").write_text("user_id,local_date,app_info_id,count\n1,19723,4,10\n1,x,4,10\n2,19723\n3,19723,4,5,6\n4,19724,4,7\n")
+    (tmp_path / "energy.json").write_text(
+        '{"local_date": 19723, "energy": 1.5, "app_info_id": 4}\n{"local_date": 19723, "ene\n{"local_date": "monday", "energy": 2, "app_info_id": 4}\n'
+    )
+    steps, energy = "steps_record_table", "active_calories_burned_record_table"
+    sources = {
+        steps: bronze.Source(str(tmp_path / "steps.csv"), "csv", {"header": "true"}),
+        energy: bronze.Source(str(tmp_path / "energy.json"), "json", {}, "local_date long, energy double, app_info_id int"),
+    }
+    root = str(tmp_path / "out")
+    status = {r["source_table"]: (r["rows"], r["malformed"]) for r in bronze.load(spark, sources, root).collect()}
+    assert status[steps] == (2, 3) and status[energy] == (1, 2)
+    loaded = bronze.read(spark, root)
+    assert rows(loaded[steps], "local_date", "count") == [(19723, 10), (19724, 7)] and bronze.MALFORMED not in loaded[steps].columns
+    assert sorted(r["record"] for r in bronze.malformed(spark, root).where(F.col("source_table") == steps).collect()) == [
+        "1,x,4,10", "2,19723", "3,19723,4,5,6",
+    ]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        bronze.scan(spark, sources[steps], steps).collect()

@@ -163,3 +163,34 @@ def test_sums_do_not_depend_on_the_partitioning(spark):
         sums = [tuple(r) for r in silver.calories(split).unionByName(silver.spo2(split), allowMissingColumns=True).collect()]
         results.add(tuple(sorted(sums, key=str)))
     assert len(results) == 1
+
+
+def test_sums_of_any_doubles_are_exact_in_any_order(spark, frame):
+    """Against exact fractions: signs, sizes from 1e-12 to 1e9, and what is not finite."""
+    import math
+    import random
+    from fractions import Fraction
+
+    from daymetrics.functions import scalars as S
+
+    draw = random.Random(8)
+    groups = {g: [draw.choice([-1, 1]) * draw.random() * 10 ** draw.randint(-9, 9) for _ in range(200)] for g in range(20)}
+    groups[20] = [0.1] * 10 + [None]
+    rows = [(g, x) for g, xs in groups.items() for x in xs]
+    for parts in (1, 3, 8, 17):
+        draw.shuffle(rows)
+        got = frame("g int, x double", rows).repartition(parts).groupBy("g").agg(S.exact_sum(F.col("x")).alias("s")).collect()
+        for r in got:
+            cut = [Fraction(math.floor(Fraction(x) * 2**60), 2**60) for x in groups[r["g"]] if x is not None]
+            assert r["s"] == float(sum(cut))
+    odd = {0: [1.0, math.nan], 1: [math.inf, 5.0], 2: [math.inf, -math.inf], 3: [None], 4: [-math.inf, 1e300], 5: [1e12, 0.5, -1e12]}
+    got = dict(frame("g int, x double", [(g, x) for g, xs in odd.items() for x in xs]).groupBy("g").agg(S.exact_sum(F.col("x"))).collect())
+    assert math.isnan(got[0]) and got[1] == math.inf and math.isnan(got[2]) and got[3] is None and got[4] == -math.inf and got[5] == 0.5
+
+
+def test_a_reading_that_is_not_a_number_counts(frame):
+    """NaN and 95 have no mean; the minimum is 95."""
+    df = frame("local_date long, percentage double, app_info_id int, energy double", [(1, float("nan"), 4, float("nan")), (1, 95.0, 4, 10.0)])
+    got = silver.spo2(df).first()
+    assert got["spo2_avg"] != got["spo2_avg"] and got["spo2_min"] == 95.0
+    assert silver.calories(df).first()["active_kcal"] != silver.calories(df).first()["active_kcal"]
