@@ -42,7 +42,7 @@ _GROUP_BITS = 4
 #: Single tokens that linked sets must share: this many, and one more for each _EXTRA tokens.
 _SHARED, _EXTRA = 2, 48
 #: Sets of a key up to which all pairs are counted; longer lists connect neighbours and count as shared.
-_LIST = 8
+_LIST = 64
 _ANY = 1 << 30
 #: Bits that say which sets are candidates: 8 MB.
 _SLOTS = 1 << 26
