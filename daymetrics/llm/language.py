@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -14,7 +13,6 @@ from pyspark.sql import functions as F
 UNKNOWN = "und"
 #: Index of the symbol that fills up a text's last window.
 PAD = 256
-_LETTER = re.compile(r"[^\W\d_]")
 #: Windows that go through the network together.
 _WINDOWS = 2048
 
@@ -217,6 +215,11 @@ def held_out(row_id: Column) -> Column:
     return F.coalesce(F.crc32(row_id.cast("string")) % 3 == 1, F.lit(False))
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is of Unicode's category L; numerals such as ½ or Ⅷ are not."""
+    return any(map(str.isalpha, text))
+
+
 def predict(documents: DataFrame, net: Network, text: str = "text") -> DataFrame:
     """Adds lang_pred and lang_score (mean probability of that language) to every row.
 
@@ -230,7 +233,7 @@ def predict(documents: DataFrame, net: Network, text: str = "text") -> DataFrame
     @F.pandas_udf("struct<lang:string,score:double>")
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            known = [bool(net.languages) and t is not None and _LETTER.search(t) is not None for t in batch]
+            known = [bool(net.languages) and t is not None and has_letter(t) for t in batch]
             data = [t.encode("utf-8", "surrogatepass") if k else b"" for t, k in zip(batch, known, strict=True)]
             p = pooled(net, data)
             best = p.argmax(axis=1) if net.languages else np.zeros(len(batch), int)

@@ -114,6 +114,8 @@ def test_language(odd_docs, frame, rows):
     net = language.train([(r[2], r[1]) for r in rows_of[:40]], steps=40)
     got = rows(language.predict(odd_docs, net), "doc_id", "lang_pred")
     assert ((1, "und") in got) and ((2, "und") in got) and ((4, "und") in got) and ((6, "und") in got)
+    odd = frame("doc_id long, text string", list(enumerate(["½ ² ① Ⅷ 12", "_ \u0301 -", "ª", "中", "½ x"])))
+    assert [p == "und" for _, p in rows(language.predict(odd, net), "doc_id", "lang_pred")] == [True, True, False, False, False]
     learned = language.identify(frame(DOCS, rows_of))
     assert rows(learned.where("lang <> lang_pred"), "doc_id") == []
     assert {r[0] for r in rows(language.identify(odd_docs.withColumn("lang", F.lit(None).cast("string"))), "lang_pred")} == {"und"}
@@ -139,14 +141,37 @@ def test_maxscore(frame, rows):
     )
     got = rows(maxscore.search(vectors, F.col("vec_id") % 50 == 0, 3))
     half = 256 * 128 - 128 * 128
-    big = maxscore.LIMIT
+    most = (1 << 63) - 1  # a score beyond a long
     assert got == [
-        (0, 1, 50, 256 * big + 128 * big), (0, 2, 1, half), (0, 3, 1, half),
-        (50, 1, 0, 256 * big + 128 * big), (50, 2, 1, 0), (50, 3, 1, 0),
+        (0, 1, 50, most), (0, 2, 1, half), (0, 3, 1, half),
+        (50, 1, 0, most), (50, 2, 1, 0), (50, 3, 1, 0),
     ]
     assert maxscore.search(vectors.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_maxscore_of_large_components_is_exact(frame, rows):
+    """Components beyond 524,288, sums beyond 2^53 that cancel or differ by one, and ties, next to
+    ordinary rows: against Python's integers."""
+    import math
+
+    big = 2.0**45
+    made = [
+        (0, [1.0, 1.0, 2.0**-8]), (1, [big, -big, 1.0]), (2, [big, 2.0**-8 - big, 1.0]), (3, [6e5, 7e5, -8e5]),
+        (4, [big + 2.0**-7, -big, 1.0]), (5, [0.5, -0.25, 3.0]), (6, [1.0, -1.0, 1e9]), (7, [big, -big, 1.0]),
+        (8, [-big, big, 0.0]), (50, [3e6, -3e6, 5e5]), (100, [1e4, 1e4, 1e4]), (150, [0.0, 0.0, 0.0]),
+    ]
+    whole = {i: [math.floor(256 * x) for x in v] for i, v in made}
+    expected = []
+    for i, q in whole.items():
+        if i % 50 == 0:
+            sums = {j: sum(a * b for a, b in zip(q, v, strict=True)) for j, v in whole.items() if j != i}
+            scored = ((-min(2**63 - 1, max(-(2**63), s)), j) for j, s in sums.items())
+            expected += [(i, rank, j, -score) for rank, (score, j) in enumerate(sorted(scored)[:5], 1)]
+    assert any(2**53 < s < 2**63 - 1 for *_, s in expected)
+    got = maxscore.search(frame("vec_id long, embedding array<double>", made), F.col("vec_id") % 50 == 0, shard_rows=4, query_rows=2)
+    assert rows(got, "query_id", "rank", "vec_id", "score") == sorted(expected)
+
+
 def shard_of(docs, n=5, split=1 << 20):
     text = F.coalesce(F.col("text"), F.lit(""))
     return histogram_sort.shard(docs, F.col("text"), F.col("doc_id"), F.octet_length(text) + 8, n, split_bytes=split)
