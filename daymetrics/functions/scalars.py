@@ -35,6 +35,11 @@ def day_column(df: DataFrame, name: str = "local_date") -> Column:
     return col if isinstance(df.schema[name].dataType, T.DateType) else col.cast("date")
 
 
+def month_number(day: Column) -> Column:
+    """202403 for a DATE in March 2024."""
+    return F.year(day) * 100 + F.month(day)
+
+
 def day_literal(value: date | str) -> Column:
     return F.lit(value).cast("date")
 

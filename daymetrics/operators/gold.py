@@ -31,6 +31,15 @@ ADDED = {
     "spo2": ["spo2_avg", "spo2_min"],
 }
 
+#: Column that stored Gold is partitioned by: the month of the day, for instance 202403.
+MONTH = "gold_month"
+
+
+def by_month(gold: DataFrame) -> DataFrame:
+    """Gold with the column that it is to be stored by, so that the weekly operators read only the
+    months they need."""
+    return gold.withColumn(MONTH, S.month_number(S.day_column(gold)))
+
 
 def _daily(df: DataFrame, keys: Sequence[str], *measures: str) -> DataFrame:
     return silver_ops.keyed(df, keys).select(*keys, S.day_column(df).alias(DAY), *measures)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from daymetrics import constants as K
 from daymetrics.functions import rows
 from daymetrics.functions import scalars as S
+from daymetrics.operators.gold import MONTH
 from daymetrics.operators.silver import DAY, keyed
 
 #: Tasks that a key's rows may be dealt to before they are reduced.
@@ -45,6 +46,25 @@ def anchor(gold: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return _anchors(gold, keys).select(*keys, S.iso(F.col("anchor")).alias("anchor"))
 
 
+def _months(gold: DataFrame, anchors: DataFrame, first: int, last: int) -> DataFrame:
+    """Gold of the months that any key's days anchor-first to anchor-last touch.
+
+    Where Gold is stored by month, the scan then opens no other folder (dynamic partition
+    pruning). The list is broadcast: it has a row for each calendar month at most.
+    """
+    if MONTH not in gold.columns:
+        return gold
+    begin, end = (F.trunc(F.date_sub("anchor", n), "month") for n in (first, last))
+    wanted = (
+        anchors.select(begin.alias("begin"), end.alias("end"))
+        .distinct()
+        .select(F.explode(F.sequence("begin", "end", F.expr("INTERVAL 1 MONTH"))).alias("month"))
+        .select(S.month_number(F.col("month")).alias(MONTH))
+        .distinct()
+    )
+    return gold.join(F.broadcast(wanted), MONTH, "left_semi")
+
+
 def _one_row_per_day(gold: DataFrame, anchors: DataFrame, keys: Sequence[str], first: int, last: int) -> DataFrame:
     """Gold of the days anchor-first to anchor-last, without its weight, which is all that tells
     the rows of one day apart. `copies` keeps their number.
@@ -58,7 +78,7 @@ def _one_row_per_day(gold: DataFrame, anchors: DataFrame, keys: Sequence[str], f
     salts = F.sequence(F.lit(0), F.lit(_SALTS - 1))
     bounds = anchors.withColumn("_salt", F.explode(salts)).hint("shuffle_hash")
     near = (
-        keyed(gold, keys)
+        keyed(_months(gold, anchors, first, last), keys)
         .select(*keys, S.day_column(gold).alias(DAY), *USED, F.pmod(F.spark_partition_id(), F.lit(_SALTS)).alias("_salt"))
         .join(bounds, [*keys, "_salt"])
         .where(F.col(DAY).between(F.date_sub("anchor", first), F.date_sub("anchor", last)))

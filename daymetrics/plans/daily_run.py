@@ -73,12 +73,12 @@ def run(
     if not raw:
         raise RuntimeError("no raw table has been loaded yet")
 
-    def store(layer: str, made: Mapping[str, Callable[[], DataFrame]], sort_by: Sequence[str]):
+    def store(layer: str, made: Mapping[str, Callable[[], DataFrame]], sort_by: Sequence[str] = (), partition_by: Sequence[str] = ()):
         """Write a layer's tables a few at a time, publish them, and return their current paths."""
 
         def one(table: str):
             try:
-                return table, tables.write(made[table](), target, layer, table, sort_by), None
+                return table, tables.write(made[table](), target, layer, table, sort_by, partition_by), None
             except Exception as error:  # noqa: BLE001 - isolated per table, reported
                 return table, None, bronze.first_line(error)
 
@@ -95,14 +95,15 @@ def run(
     plans = silver.plans(raw, as_of, keys, tie_break)
     stored = store("silver", plans, [*keys, "local_date"])
     clean = {t: spark.read.parquet(stored[t]) if t in stored else _empty_silver(spark, t, raw, keys) for t in plans}
-    stored = store("gold", {"daily_metrics": lambda: gold.build(clean, keys)}, [*keys, "local_date"])
+    made = {"daily_metrics": lambda: gold.by_month(gold.build(clean, keys))}
+    stored = store("gold", made, [*keys, "local_date"], [gold.MONTH])
     if not stored:
         raise RuntimeError("Gold has never been built")
     daily = spark.read.parquet(stored["daily_metrics"])
     repeated = quality.duplicate_count(daily, keys).first()["duplicate_days"]
     if repeated:
         logger.warning("%d days have several rows in Gold", repeated)
-    stored = store("report", {"weekly": lambda: report.run(daily, keys)}, [])
+    stored = store("report", {"weekly": lambda: report.run(daily, keys)})
     if not stored:
         raise RuntimeError("the report has never been built")
     return Result(

@@ -66,22 +66,26 @@ def read(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
     return spark.read.parquet(found)
 
 
-def write(df: DataFrame, root: str, layer: str, table: str, sort_by: Sequence[str] = ()) -> Version:
+def write(
+    df: DataFrame, root: str, layer: str, table: str, sort_by: Sequence[str] = (), partition_by: Sequence[str] = ()
+) -> Version:
     """A new version that nobody reads yet; its row count comes from the write itself.
 
     `sort_by` ranges the rows over the files and orders them within, so that files and row
     groups can be skipped on those columns. Rows that agree in them may lie in several files:
-    a hot value is spread, by the number of the row.
+    a hot value is spread, by the number of the row. `partition_by` makes a folder for each value;
+    as the ranges go by it first, a task writes to few folders, and a table has about as many
+    files as it has ranges and values together.
     """
-    counted, out = Observation(), df
-    if sort_by:
+    counted, out, by = Observation(), df, [*partition_by, *sort_by]
+    if by:
         spread = F.pmod(F.monotonically_increasing_id(), F.lit(64))
-        out = out.withColumn("_spread", spread).repartitionByRange(*sort_by, "_spread")
-        out = out.sortWithinPartitions(*sort_by).drop("_spread")
+        out = out.withColumn("_spread", spread).repartitionByRange(*by, "_spread")
+        out = out.sortWithinPartitions(*by).drop("_spread")
     # Observed after the ranges, which look at a sample of the rows first.
     out = out.observe(counted, F.count(F.lit(1)).alias("rows"))
     version = f"run-{time.time_ns():020d}-{uuid.uuid4().hex}"
-    out.write.parquet(path(root, layer, table, version))
+    out.write.partitionBy(*partition_by).parquet(path(root, layer, table, version))
     return Version(layer, table, version, counted.get["rows"])
 
 
@@ -94,9 +98,11 @@ def publish(spark: SparkSession, root: str, made: Sequence[Version]) -> None:
         spark.createDataFrame(rows, VERSIONS).coalesce(1).write.parquet(folder)
 
 
-def overwrite(df: DataFrame, root: str, layer: str, table: str, sort_by: Sequence[str] = ()) -> int:
+def overwrite(
+    df: DataFrame, root: str, layer: str, table: str, sort_by: Sequence[str] = (), partition_by: Sequence[str] = ()
+) -> int:
     """Replace a table and return its row count. A job may rewrite a table it reads."""
-    made = write(df, root, layer, table, sort_by)
+    made = write(df, root, layer, table, sort_by, partition_by)
     publish(df.sparkSession, root, [made])
     return made.rows
 

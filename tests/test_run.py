@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from daymetrics import constants as K
 from daymetrics import session
-from daymetrics.operators import silver
+from daymetrics.operators import gold, silver, weekly
 from daymetrics.plans import daily_run, report
 from daymetrics.sources import bronze, sample, tables
 
@@ -208,3 +208,46 @@ def test_malformed_records_are_kept_apart(spark, tmp_path, rows):
     ]
     with pytest.raises(Exception, match="(?i)malformed"):
         bronze.scan(spark, sources[steps], steps).collect()
+
+
+def scanned(spark, metric):
+    """A metric of the file scans of the last query, smallest first."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    runs = store.executionsList()
+    last = runs.apply(runs.size() - 1).executionId()
+    values, found = store.executionMetrics(last), []
+    nodes = store.planGraph(last).allNodes().iterator()
+    while nodes.hasNext():
+        node = nodes.next()
+        metrics = node.metrics().iterator()
+        while metrics.hasNext():
+            m = metrics.next()
+            if node.name().startswith("Scan parquet") and m.name() == metric and values.contains(m.accumulatorId()):
+                found.append(int(values.apply(m.accumulatorId()).replace(",", "")))
+    return sorted(found)
+
+
+@pytest.mark.parametrize("keys", [KEYS, []])
+def test_a_week_opens_the_same_folders_however_long_the_history(spark, tmp_path, rows, keys):
+    """One and four years of Gold by month, in turn: the scan of the days opens March alone."""
+    opened, results = [], []
+    for years in (1, 4):
+        n, days = F.col("id"), 366 * years
+        made = spark.range(days * 3).select(
+            (n % 3).alias("user_id"), F.date_sub(F.lit("2024-03-09").cast("date"), (n / 3).cast("int")).alias("local_date"),
+            (n % 9000).alias("steps"), F.lit(7.5).alias("sleep_hours"), F.lit("Rest").alias("workout_type"),
+            *[F.lit(1.0).alias(c) for c in ("deep_minutes", "rem_minutes", "active_kcal", "workout_minutes", "resting_hr", "spo2_avg")],
+        )
+        made = made if keys else made.where("user_id = 0").drop("user_id")
+        root = str(tmp_path / str(years))
+        tables.overwrite(gold.by_month(made), root, "gold", "daily_metrics", [*keys, "local_date"], [gold.MONTH])
+        stored = tables.read(spark, root, "gold", "daily_metrics")
+        assert stored.select(gold.MONTH).distinct().count() in (13, 49)
+        got = weekly.week_rows(stored, keys).collect()
+        opened.append(scanned(spark, "number of partitions read")[0])
+        results.append(sorted(map(tuple, got)))
+        assert sorted(map(tuple, weekly.week_rows(made, keys).collect())) == results[-1]
+        # The prior week begins in February.
+        assert rows(weekly.week_over_week(stored, keys)) == rows(weekly.week_over_week(made, keys))
+    assert opened == [1, 1]  # 3 to 9 March
+    assert results[0] == results[1] and len(results[0]) == 7 * (3 if keys else 1)
