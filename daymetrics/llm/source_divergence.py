@@ -9,11 +9,11 @@ each of its ancestors, weighted by the terms below it.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,49 +22,80 @@ from daymetrics.llm.common import LOWER, UPPER, stored
 #: A term is a run of these: ASCII letters, in lower case, and all bytes of other characters.
 _BYTES = bytes(b if b >= 0x80 or chr(b) in LOWER else b + 32 if chr(b) in UPPER else 0x20 for b in range(256))
 SCALE = 1_000_000_000
-#: Counts that a task holds before it hands them on, and pairs of nodes compared at a time.
-_HELD, _PAIRS = 200_000, 1 << 18
+#: Rows of counts or sums (some 50 bytes each) that a task holds before it hands them on, and pairs
+#: of nodes compared at a time.
+_HELD, _PAIRS = 1 << 20, 1 << 18
+#: Bytes of texts that are split into terms at a time; a longer text is split alone.
+_BYTES_AT_ONCE = 4 << 20
 #: Tasks that a language's rows may be dealt to where they meet its sources.
 _SALTS = 32
 
 
-def terms(text: bytes) -> list[bytes]:
-    return text.translate(_BYTES).split()
+def terms(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The terms of binary texts, none of them null: each one's text, by its place, and the term."""
+    size = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+    wide = np.int64 if pa.types.is_large_binary(texts.type) else np.int32
+    ends = np.concatenate(([0], np.cumsum(size))).astype(wide)
+    mapped = b"".join(texts.to_pylist()).translate(_BYTES)
+    plain = (pa.LargeStringArray if wide is np.int64 else pa.StringArray).from_buffers(len(texts), pa.py_buffer(ends), pa.py_buffer(mapped))
+    split = pc.ascii_split_whitespace(plain)
+    words = split.flatten()
+    at = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
+    real = pc.greater(pc.binary_length(words), 0)  # none before a blank at the start or after one at the end
+    return at[real.to_numpy(zero_copy_only=False)], words.filter(real)
+
+
+_COUNTS = ["group", "term", "n", "docs"]
+
+
+def _combined(parts: list[pa.Table]) -> pa.Table:
+    """(group, term, n, docs) of several, with each group's term once."""
+    grouped = pa.concat_tables(parts).group_by(["group", "term"], use_threads=False)
+    return grouped.aggregate([("n", "sum"), ("docs", "sum")]).select(["group", "term", "n_sum", "docs_sum"]).rename_columns(_COUNTS)
+
+
+def _count(groups: np.ndarray, texts: pa.Array) -> pa.Table:
+    """(group, term, n, docs): how often the terms occur in a group's texts, and in how many."""
+    at, words = terms(texts)
+    coded = words.dictionary_encode()
+    keys = np.sort(at.astype(np.int64) << 32 | coded.indices.to_numpy(zero_copy_only=False))
+    first = np.flatnonzero(np.diff(keys, prepend=-1))  # each text's term once
+    n = np.diff(first, append=len(keys))
+    keys = groups[keys[first] >> 32] << 32 | (keys[first] & 0xFFFFFFFF)
+    held = pa.table({"key": keys, "n": n}).group_by("key", use_threads=False).aggregate([("n", "sum"), ("n", "count")])
+    keys = held["key"].to_numpy()
+    term = coded.dictionary.take(pa.array(keys & 0xFFFFFFFF)).cast(pa.binary())
+    return pa.table([pa.array(keys >> 32), term, held["n_sum"], held["n_count"]], _COUNTS)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, source, term, n, docs), combined over some documents of the task."""
-    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-    size = 0
+    """(lang, source, term, n, docs), combined over the documents of the task."""
+    groups: dict[tuple[str, str], int] = {}
+    parts: list[pa.Table] = []  # the first is combined
 
     def out() -> Iterator[pa.RecordBatch]:
-        for (lang, source), (n, docs) in held.items():
-            words = list(n)
-            for at in range(0, len(words), 1 << 16):
-                part = words[at : at + (1 << 16)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * len(part), pa.string()),
-                        pa.array([source] * len(part), pa.string()),
-                        pa.array(part, pa.binary()),
-                        pa.array([n[w] for w in part], pa.int64()),
-                        pa.array([docs[w] for w in part], pa.int64()),
-                    ],
-                    ["lang", "source", "term", "n", "docs"],
-                )
+        lang, source = (pa.array([g[i] for g in groups], pa.string()) for i in range(2))
+        for part in _combined(parts).to_batches(max_chunksize=1 << 16):
+            group, *rest = part.columns
+            yield pa.RecordBatch.from_arrays([lang.take(group), source.take(group), *rest], ["lang", "source", "term", "n", "docs"])
 
     for batch in batches:
-        for lang, source, text in zip(*(batch.column(i) for i in range(3)), strict=True):
-            words = terms(text.as_py())
-            n, docs = held.setdefault((lang.as_py(), source.as_py()), (Counter(), Counter()))
-            before = len(n)
-            n.update(words)
-            docs.update(set(words))
-            size += len(n) - before
-            if size > _HELD:
-                yield from out()
-                held, size = {}, 0
-    yield from out()
+        of = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+        group = np.array([groups.setdefault(g, len(groups)) for g in of], np.int64)
+        texts = batch.column(2)
+        size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < len(texts):
+            till = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + _BYTES_AT_ONCE, "right")))
+            parts.append(_count(group[at:till], texts.slice(at, till - at)))
+            at = till
+            if sum(map(len, parts)) > 2 * len(parts[0]) + _HELD // 4:
+                parts = [_combined(parts)]
+                if len(parts[0]) > _HELD:
+                    yield from out()
+                    parts = []
+    if parts:
+        yield from out()
 
 
 def _div(a: Column, b: Column) -> Column:
@@ -88,17 +119,26 @@ def _gaps(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 def term_rows(documents: DataFrame, least_docs: int = 10) -> DataFrame:
-    """(lang, term, n, of): the terms in at least `least_docs` documents of a language, how often
-    they occur there, and how often in each of its sources that has them. `documents` has lang,
-    source and text, none of them null."""
+    """(lang, source, term, n, lang_n, first): for the terms in at least `least_docs` documents of a
+    language and each of its sources that has them, how often they occur there and in the language,
+    and whether the source is the term's first. `documents` has lang, source and text, none of them null.
+
+    The counts of a term meet once, in the exchange by term and language: what follows needs no other.
+    The term comes before the language in it, as rows are sorted by it and tell terms apart sooner.
+    """
     held = documents.select("lang", "source", F.col("text").cast("binary"))
-    partial = held.mapInArrow(_counted, "lang string, source string, term binary, n long, docs long")
-    counted = partial.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    partial = held.mapInArrow(_counted, "lang string, source string, term binary, n long, docs long").repartition("term", "lang")
+    counted = partial.groupBy("term", "lang", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    whole = Window.partitionBy("term", "lang")
     return (
-        counted.groupBy("lang", "term")
-        .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("of"))
+        counted.select(
+            "lang", "source", "term", "n",
+            F.sum("n").over(whole).alias("lang_n"),
+            F.sum("docs").over(whole).alias("docs"),
+            (F.col("source") == F.min("source").over(whole)).alias("first"),
+        )
         .where(F.col("docs") >= least_docs)
-        .select("lang", "term", "n", "of")
+        .drop("docs")
     )
 
 
@@ -106,13 +146,13 @@ def source_totals(documents: DataFrame, rows: DataFrame) -> DataFrame:
     """(lang, source, at, total, lang_total, kept, zero): each source of a language, numbered in their
     order, with the sum of its kept terms and of its language's, their number, and its share of a
     term that it does not have."""
-    totals = rows.select("lang", F.inline("of")).groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    of_lang = rows.groupBy("lang").agg(F.sum("n").alias("lang_total"), F.count(F.lit(1)).alias("kept"))
+    totals = rows.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count_if("first").alias("firsts"))
+    of_lang = totals.groupBy("lang").agg(F.sum("total").alias("lang_total"), F.sum("firsts").alias("kept"))
     zero = F.lit(0).cast("long")
     return (
         documents.select("lang", "source")
         .distinct()
-        .join(totals, ["lang", "source"], "left")
+        .join(totals.drop("firsts"), ["lang", "source"], "left")
         .join(of_lang, "lang", "left")
         .select(
             "lang", "source",
@@ -123,77 +163,97 @@ def source_totals(documents: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
+def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[first], np.add.reduceat(values[order], first)
+
+
+def _compared(row: pa.ListArray, m: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of sources (the lesser in the upper half) and their corrections, from a language's sorted rows.
+
+    Level by level: a node stands in the first of the rows that share its path, and is weighted by
+    the terms of all rows up to the next that leaves the path at or above it.
+    """
+    at, p, zero = (c.to_numpy().astype(np.int64) for c in row.flatten().flatten())
+    size = pc.list_value_length(row).to_numpy().astype(np.int64)
+    start = np.cumsum(size) - size
+    # How many nodes of the row before are this row's too.
+    common = np.minimum(size, np.append(0, size[:-1]))
+    of = np.repeat(np.arange(len(size)), common)
+    here = np.arange(len(of)) - np.repeat(np.cumsum(common) - common, common) + start[of]
+    above = here - start[of] + start[of - 1]
+    unlike = np.flatnonzero((at[here] != at[above]) | (p[here] != p[above]))
+    rows, first = np.unique(of[unlike], return_index=True)
+    common[rows] = here[unlike[first]] - start[rows]
+
+    passed = np.append(0, np.cumsum(m))
+    for depth in range(1, int(size.max(initial=0))):
+        begin = np.flatnonzero(common <= depth)
+        end = np.append(begin[1:], len(size))
+        held = size[begin] > depth
+        weight = (passed[end] - passed[begin])[held]
+        nodes = start[begin[held]] + depth
+        step = max(1, _PAIRS // depth)
+        for i in range(0, len(nodes), step):
+            node = nodes[i : i + step, None]
+            path = node - np.arange(depth, 0, -1)
+            both = _gaps(p[path], p[node]) - _gaps(p[path], zero[node])
+            both += _gaps(zero[path], zero[node]) - _gaps(zero[path], p[node])
+            both *= weight[i : i + step, None]
+            yield _summed((at[path] << 32 | at[node]).ravel(), both.ravel())
+
+
 def _tree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, a, b, value): corrections for terms that both have, from sorted rows of (lang, row, m).
 
-    Sorted rows visit the tree depth first: only the path to the current node is held. A node is
-    left with the number of terms below it and compared with the path above it; nodes are gathered
-    and compared some ten thousand pairs at a time. Where a partition begins inside a subtree its
-    path is built once more, and the sums are the same.
+    Sorted rows visit the tree depth first, so that the rows of a node follow each other. Where a
+    batch begins inside a subtree its path is built once more, and the sums are the same.
     """
     lang: str | None = None
-    path: list[tuple[int, int, int]] = []
-    below: list[int] = []  # terms that pass through each node of the path
-    pairs: list[tuple[np.ndarray, tuple[int, int, int], int]] = []
-    waiting = 0
-    sums: Counter = Counter()
-
-    def compare() -> None:
-        nonlocal pairs, waiting
-        if not pairs:
-            return
-        size = [len(above) for above, _, _ in pairs]
-        above = np.concatenate([x for x, _, _ in pairs])
-        node = np.repeat(np.array([x for _, x, _ in pairs], np.int64), size, axis=0)
-        weight = np.repeat(np.array([m for _, _, m in pairs], np.int64), size)
-        both = _gaps(above[:, 1], node[:, 1]) - _gaps(above[:, 1], node[:, 2])
-        both += _gaps(above[:, 2], node[:, 2]) - _gaps(above[:, 2], node[:, 1])
-        keys, place = np.unique(above[:, 0] << 32 | node[:, 0], return_inverse=True)
-        total = np.zeros(len(keys), np.int64)
-        np.add.at(total, place, both * weight)
-        for key, value in zip(keys.tolist(), total.tolist(), strict=True):
-            sums[key] += value
-        pairs, waiting = [], 0
-
-    def leave(depth: int) -> None:
-        nonlocal waiting
-        while len(path) > depth:
-            node, m = path.pop(), below.pop()
-            if path:
-                below[-1] += m
-                pairs.append((np.array(path, np.int64), node, m))
-                waiting += len(path)
-                if waiting >= _PAIRS:
-                    compare()
+    sums: list[tuple[np.ndarray, np.ndarray]] = []  # the first is summed
+    size = 0
+
+    def add() -> None:
+        nonlocal sums, size
+        sums = [_summed(*(np.concatenate(x) for x in zip(*sums, strict=True)))]
+        size = 0
 
     def out() -> Iterator[pa.RecordBatch]:
-        leave(0)
-        compare()
-        keys = list(sums)
+        nonlocal sums
+        if not sums:
+            return
+        add()
+        keys, values = sums.pop()
         for at in range(0, len(keys), 1 << 16):
             part = keys[at : at + (1 << 16)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([lang] * len(part), pa.string()),
-                    pa.array([k >> 32 for k in part], pa.int32()),
-                    pa.array([k & 0xFFFFFFFF for k in part], pa.int32()),
-                    pa.array([sums[k] for k in part], pa.int64()),
+                    pa.array(part >> 32, pa.int32()),
+                    pa.array(part & 0xFFFFFFFF, pa.int32()),
+                    pa.array(values[at : at + (1 << 16)], pa.int64()),
                 ],
                 ["lang", "a", "b", "value"],
             )
-        sums.clear()
 
     for batch in batches:
-        for its_lang, row, m in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            if its_lang != lang or len(sums) > _HELD:
+        runs = pc.run_end_encode(batch.column(0))
+        begin = 0
+        for end, its_lang in zip(runs.run_ends.to_pylist(), runs.values.to_pylist(), strict=True):
+            if its_lang != lang:
                 yield from out()
                 lang = its_lang
-            items = [(x["at"], x["p"], x["zero"]) for x in row]
-            same = next((i for i, (x, y) in enumerate(zip(path, items, strict=False)) if x != y), min(len(path), len(items)))
-            leave(same)
-            path += items[same:]
-            below += [0] * (len(items) - same)
-            below[-1] += m
+            part = batch.slice(begin, end - begin)
+            begin = end
+            for found in _compared(part.column(1), part.column(2).to_numpy()):
+                sums.append(found)
+                size += len(found[0])
+                if size > _HELD // 4 + len(sums[0][0]):
+                    add()
+                    if len(sums[0][0]) > _HELD:
+                        yield from out()
     yield from out()
 
 
@@ -219,7 +279,7 @@ def pair_values(items: DataFrame, sources: DataFrame) -> DataFrame:
     )
     # Both have it: the tree of rows.
     row = F.sort_array(F.collect_list(F.struct("at", "p", "zero")))
-    rows = items.groupBy("lang", "term").agg(row.alias("row")).groupBy("lang", "row").agg(F.count(F.lit(1)).alias("m"))
+    rows = items.groupBy("term", "lang").agg(row.alias("row")).groupBy("lang", "row").agg(F.count(F.lit(1)).alias("m"))
     tree = rows.repartitionByRange("lang", "row").sortWithinPartitions("lang", "row")
     both = tree.mapInArrow(_tree, "lang string, a int, b int, value long")
     return none.unionByName(one).unionByName(both).groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
@@ -236,16 +296,16 @@ def audit(documents: DataFrame, least_docs: int = 10, terms_per_source: int = 10
     empty one; other columns are not looked at.
 
     Counts are combined in the tasks that read the texts, so a frequent term or source is a few
-    rows of each. One row holds the sources of a term, and the result a row for each pair of them:
-    sources may be many thousands, not millions. Terms of equal rows are one row of the tree.
+    rows of each, and meet in one exchange. One row holds the sources of a term, and the result a
+    row for each pair of them: sources may be many thousands, not millions. Terms of equal rows are
+    one row of the tree.
     """
     empty = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     docs = documents.select(empty("lang"), empty("source"), empty("text"))
     rows = stored(term_rows(docs, least_docs))
     sources = stored(source_totals(docs, rows))
-    each = rows.select("lang", "term", F.col("n").alias("lang_n"), F.inline("of"))
     items = stored(
-        each.join(sources, ["lang", "source"]).select(
+        rows.join(sources, ["lang", "source"]).select(
             "lang", "source", "term", "at", "zero",
             _share(F.col("n"), F.col("total"), F.col("kept")).alias("p"),
             _share(F.col("lang_n"), F.col("lang_total"), F.col("kept")).alias("q"),

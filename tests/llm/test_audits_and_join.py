@@ -2,9 +2,11 @@
 
 import itertools
 import random
+import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -273,6 +275,52 @@ def test_the_tree_in_small_steps(frame, rows, monkeypatch, pairs, held):
     assert set(got) == plain_sources(given)
 
 
+def test_a_task_counts_a_term_once():
+    """However many terms there are; characters beyond ASCII are no blanks, whatever they are elsewhere."""
+    given = [(f"{lang}", "s", f" the\x00{i}The " + " ".join(f"é{w}\u00a0\u0085" for w in plain_names(i * 12_500, 100_000))) for i in range(10) for lang in ("en", "")]
+    given += [("en", "t", ""), ("en", "s", "12\t"), ("", "s", "the")]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*((a, s, x.encode()) for a, s, x in given), strict=True)], ["lang", "source", "text"])
+    n, docs = Counter(), Counter()
+    for lang, source, text in given:
+        words = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", text.replace("T", "t"))
+        n.update((lang, source, w) for w in words)
+        docs.update((lang, source, w) for w in set(words))
+    assert len(n) > 300_000
+    got = [r for part in source_divergence._counted(iter([batch.slice(0, 9), batch.slice(9)])) for r in zip(*(c.to_pylist() for c in part.columns), strict=True)]
+    assert len(got) == len(n) and {(a, s, w.decode()): (k, d) for a, s, w, k, d in got} == {w: (k, docs[w]) for w, k in n.items()}
+
+
+def plain_names(start, count):
+    return ["".join("abcdefghij"[int(c)] for c in str(i)) for i in range(start, start + count)]
+
+
+def test_counts_meet_in_one_exchange(frame):
+    plan = source_divergence.term_rows(frame(DOCS, [(1, "a b", "en", "s", "")]))._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"\bExchange\b", plan)) == 1
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 10_000])
+def test_the_tree_in_batches(chunk):
+    """Batches and languages that begin inside a subtree, against all pairs of each row."""
+    draw, rows, want = random.Random(chunk), [], Counter()
+    gap = lambda p, q: (p - q) ** 2 // (p + q)
+    for lang in ("", "de", "en"):
+        own = [draw.randrange(1, 50) for _ in range(7)]
+        for row in sorted({tuple((a, draw.choice([60, 10**9]), own[a]) for a in range(7) if draw.random() < 0.6) for _ in range(200)} - {()}):
+            m = draw.randrange(1, 5)
+            rows.append((lang, [dict(zip(("at", "p", "zero"), x, strict=True)) for x in row], m))
+            for (a, p, x), (b, q, y) in itertools.combinations(row, 2):
+                want[lang, a, b] += m * (gap(p, q) - gap(p, y) + gap(x, y) - gap(x, q))
+    kind = pa.list_(pa.struct([("at", pa.int32()), ("p", pa.int64()), ("zero", pa.int64())]))
+    lang, row, m = zip(*rows, strict=True)
+    batch = pa.RecordBatch.from_arrays([pa.array(lang), pa.array(row, kind), pa.array(m)], ["lang", "row", "m"])
+    got = Counter()
+    for part in source_divergence._tree(batch.slice(i, chunk) for i in range(0, len(rows), chunk)):
+        for lang, a, b, value in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            got[lang, a, b] += value
+    assert got == want
+
+
 # --- shared helper ---------------------------------------------------------------------
 
 def test_rows_without_the_dropped_ones(spark, frame, rows):
