@@ -12,6 +12,10 @@ order is covered by the other one.
 Prefixes are extended by some more single tokens, in proportion to the size of the set: two sets
 then share as many more, so chance meetings in a token or two are no candidates. Sets that share
 enough, or a frequent combination, are; and every link is verified on the whole sets.
+
+Counters cannot tell how frequent a token is below their own noise, which grows with the input, so
+single tokens may have many sets all the same. Such a token is no reason to connect its sets: it
+connects those that have as many such tokens as a link needs, and for others it only counts.
 """
 
 from __future__ import annotations
@@ -41,7 +45,8 @@ PAIRED, TRIPLED = 64, 512
 _GROUP_BITS = 4
 #: Single tokens that linked sets must share: this many, and one more for each _EXTRA tokens.
 _SHARED, _EXTRA = 2, 48
-#: Sets of a key up to which all pairs are counted; longer lists connect neighbours and count as shared.
+#: Sets of a key up to which all pairs are counted; a longer list counts as shared, and connects neighbours
+#: among the sets that links might have by long lists alone.
 _LIST = 64
 _ANY = 1 << 30
 #: Bits that say which sets are candidates: 8 MB.
@@ -201,7 +206,7 @@ def signatures(tokens: np.ndarray, levels: Levels, percent: int) -> tuple[np.nda
     order = np.argsort(level[single], kind="stable")  # by level, then by token
     alone = tokens[single[order]][: needed + share - 1]
     if len(alone) >= needed:
-        return alone, len(alone) - needed + 1
+        return alone, len(alone) - needed + 1 if len(alone) > needed else _ANY
     often = np.flatnonzero(level >= levels.paired)
     often = often[np.argsort(level[often], kind="stable")]
     found = [alone]
@@ -265,29 +270,32 @@ def _indexed(levels: Levels, width: int, percent: int):
     return index
 
 
-def _listed(percent: int):
+def _listed(percent: int, longest: int | None = None, chained: bool = True):
+    longest = _LIST if longest is None else longest
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
     names = ["a", "b", "share", "part", "key", "n", "key_", "n_"]
 
-    def rows(a: np.ndarray, b: np.ndarray | None, share: np.ndarray) -> pa.RecordBatch:
-        there = [pa.array(a), pa.nulls(len(a), pa.int64()) if b is None else pa.array(b), pa.array(share.astype(np.int32))]
-        return pa.RecordBatch.from_arrays([*there, *(pa.nulls(len(a), k) for k in kinds[3:])], names)
+    def rows(a: np.ndarray, b: np.ndarray | None, share: np.ndarray, key: np.ndarray | None = None, n: np.ndarray | None = None) -> pa.RecordBatch:
+        given = (a, b, share.astype(np.int32), None, key, None if n is None else n.astype(np.int32), None, None)
+        there = [pa.nulls(len(a), kind) if x is None else pa.array(x) for x, kind in zip(given, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(there, names)
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Postings (key, n, set, share) in order, to rows of three kinds, and the ends of the partition.
+        """Postings (key, n, set, share) in order, to rows of two kinds, and the ends of the partition.
 
-        (a, b, share): a pair of one key whose sizes fit, and how many keys it must share. (a, b, 0):
-        neighbours in a long list, which connect all in it that fit. (a, null, count): long lists that
-        a set is in. A list that may go on in another partition is a long one.
+        (a, b, share): a pair of one key whose sizes fit, and how many keys it must share. Of lists of
+        more than `longest` sets, if `chained`, (a, b, 0): neighbours, which connect all in the list
+        that fit; else (a, null, share, key, n): the list's postings. A list that may go on in
+        another partition is a long one.
         """
 
-        def of(block: np.ndarray, first_long: bool, last_long: bool) -> Iterator[pa.RecordBatch]:
+        def of(block: np.ndarray, first_long: bool, last_long: bool, told: int = 0) -> Iterator[pa.RecordBatch]:
             key, n, who, share = block.T
             run = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
-            long = np.bincount(run) > _LIST
+            long = np.bincount(run) > longest
             long[0] |= first_long
             long[-1] |= last_long
-            for apart in range(1, _LIST):
+            for apart in range(1, max(longest, 2)):
                 if len(key) <= apart:
                     break
                 fits = (run[apart:] == run[:-apart]) & (n[:-apart] * 100 >= n[apart:] * percent)
@@ -295,14 +303,13 @@ def _listed(percent: int):
                 a, b, among = np.minimum(x, y), np.maximum(x, y), long[run[apart:]]
                 pair, most = fits & ~among, np.minimum(share[:-apart], share[apart:])
                 yield rows(a[pair], b[pair], np.where(most[pair] == _ANY, 1, most[pair]))
-                if apart == 1 and (chain := fits & among).any():
+                if chained and apart == 1 and (chain := fits & among).any():
                     a, b = np.unique(np.stack([a[chain], b[chain]]), axis=1)
                     yield rows(a, b, np.zeros(len(a)))
-            if long.any():
-                sets, count = np.unique(who[long[run]], return_counts=True)
-                yield rows(sets, None, count)
+            if not chained and (at := np.flatnonzero(long[run][told:]) + told).size:
+                yield rows(who[at], None, share[at], key[at], n[at])
 
-        held, first, last, open_long = np.empty((0, 4), np.int64), None, None, True
+        held, first, last, open_long, told = np.empty((0, 4), np.int64), None, None, True, 0
         for batch in batches:
             new = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in range(4)], axis=1)
             if not len(new):
@@ -313,40 +320,51 @@ def _listed(percent: int):
             held = held[np.concatenate([[True], ~repeats])]
             start = int(np.flatnonzero(np.concatenate([[True], held[1:, 0] != held[:-1, 0]]))[-1])
             if start:
-                yield from of(held[:start], open_long, False)
-                held, open_long = held[start:], False
-            if len(held) > _LIST:  # goes on as a long list from its last row
-                yield from of(held, True, True)
-                held, open_long = held[-1:], True
+                yield from of(held[:start], open_long, False, told)
+                held, open_long, told = held[start:], False, 0
+            if len(held) > longest:  # goes on as a long list from its last row
+                yield from of(held, True, True, told)
+                held, open_long, told = held[-1:], True, 1
         if len(held):
-            yield from of(held, True, True)
+            yield from of(held, True, True, told)
             ends = (first[2], last[2], 0, TaskContext.get().partitionId(), first[0], first[1], last[0], last[1])
             yield pa.RecordBatch.from_arrays([pa.array([int(x)], k) for x, k in zip(ends, kinds, strict=True)], names)
 
     return lists
 
 
+def _lists(postings: DataFrame, percent: int, *how) -> DataFrame:
+    """What `_listed` makes of postings dealt by ranges of (key, n, set): those of a hot key lie in many tasks."""
+    dealt = postings.repartitionByRange("key", "n", "set").sortWithinPartitions("key", "n", "set")
+    schema = "a long, b long, share int, part int, key long, n int, key_ long, n_ int"
+    return stored(dealt.select("key", "n", "set", "share").mapInArrow(_listed(percent, *how), schema))
+
+
 def candidates(postings: DataFrame, percent: int) -> DataFrame:
     """(a, b): pairs of sets that connect all pairs of fitting sizes that share enough keys.
 
-    Postings are dealt by ranges of (key, n, set), so those of a hot key lie in many tasks; the
-    ends of the ranges, two rows a task, are joined afterwards. A pair counts the short lists it is
-    in, and might be in each long list that both its sets are in.
+    A pair counts the short lists it is in, and might be in each long list that both its sets are
+    in. Two sets that share nothing but long lists are each in as many as they must share: such sets
+    are chained in their long lists, where the ends of the ranges, two rows a task, are joined afterwards.
     """
-    dealt = postings.repartitionByRange("key", "n", "set").sortWithinPartitions("key", "n", "set")
-    schema = "a long, b long, share int, part int, key long, n int, key_ long, n_ int"
-    found = stored(dealt.select("key", "n", "set", "share").mapInArrow(_listed(percent), schema))
-    ends = sorted(found.where("part IS NOT NULL").collect(), key=lambda r: r["part"])
+    found = _lists(postings, percent, None, False).where("part IS NULL")
+    pairs = found.where("b IS NOT NULL").groupBy("a", "b").agg(F.count(F.lit(1)).alias("got"), F.min("share").alias("share"))
+    of_long = found.where("b IS NULL").select("key", "n", F.col("a").alias("set"), "share")
+    # A set that fits is smaller by `percent` at most, so that is how much the pair must share at least.
+    least = F.least("share", (F.floor(F.col("n").cast("long") * percent / (100 * _EXTRA)) + _SHARED).cast("int"))
+    long = stored(
+        of_long.groupBy("set").agg(F.count(F.lit(1)).alias("long"), F.min(F.when(F.col("share") < _ANY, least).otherwise(1)).alias("least"))
+    )
+    by_long = of_long.join(long.where("long >= least").select("set"), "set", "left_semi")
+    chained = _lists(stored(by_long), percent, 1, True)
+    ends = sorted(chained.where("part IS NOT NULL").collect(), key=lambda r: r["part"])
     across = [
         (x["b"], y["a"])
         for x, y in zip(ends, ends[1:], strict=False)
         if x["key_"] == y["key"] and x["b"] != y["a"] and x["n_"] * 100 >= y["n"] * percent
     ]
-    rows = found.where("part IS NULL")
-    chains = rows.where("share = 0").select("a", "b").distinct()
-    pairs = rows.where("share > 0 AND b IS NOT NULL").groupBy("a", "b").agg(F.count(F.lit(1)).alias("got"), F.min("share").alias("share"))
-    long = rows.where("b IS NULL").groupBy("a").agg(F.sum("share").alias("long"))
-    more = lambda x: long.select(F.col("a").alias(x), F.col("long").alias(f"_{x}"))
+    chains = chained.where("part IS NULL").select("a", "b").distinct()
+    more = lambda x: long.select(F.col("set").alias(x), F.col("long").alias(f"_{x}"))
     might = F.least(F.coalesce("_a", F.lit(0)), F.coalesce("_b", F.lit(0)))
     enough = pairs.join(more("a"), "a", "left").join(more("b"), "b", "left").where(F.col("got") + might >= F.col("share"))
     linked = chains.unionByName(enough.select("a", "b"))

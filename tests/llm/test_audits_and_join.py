@@ -127,6 +127,51 @@ def test_lists_that_go_on_in_other_batches(monkeypatch):
     assert connected(7) == connected(1) == connected(1000) == plain_links(fitting)
 
 
+def connected_sets(postings, sets):
+    """The least set that candidates reach, for each."""
+    least = {x: x for x in sets}
+    for a, b in ((r["a"], r["b"]) for r in ngram_join.candidates(postings, 85).collect()):
+        x, y = sorted((least[a], least[b]))
+        least = {k: x if v == y else v for k, v in least.items()}
+    return least
+
+
+POSTINGS = "key long, n int, set long, share int"
+
+
+def test_a_frequent_token_connects_only_sets_that_need_it(frame):
+    """Sets in one long list are no family, which would be compared in whole; in as many as they must share, they are."""
+    given = [(0, 100 + s % 9, s, 3) for s in range(300)]  # all share one token
+    given += [(1000 + 4 * s + i, 100 + s % 9, s, 3) for s in range(300) for i in range(3)]  # nothing
+    given += [(5000 + s // 2 * 2 + i, 100 + s % 9, s, 3) for s in range(100, 110) for i in range(2)]  # pairs: two, and the long list
+    given += [(k, 100 + s % 9, s, 3) for k in (7, 8) for s in range(200, 270)]  # three long lists
+    given += [(9, 100, 400 + s, ngram_join._ANY if s % 50 == 0 else 3) for s in range(100)]
+    sets = sorted({x[2] for x in given})
+    got = connected_sets(frame(POSTINGS, given), sets)
+    want = {s: 200 if 200 <= s < 270 else s // 2 * 2 if 100 <= s < 110 else 400 if s == 450 else s for s in sets}
+    assert got == want
+
+
+@pytest.mark.parametrize("longest", [1, 2, 5, 64])
+def test_candidates_connect_what_shares_enough(frame, monkeypatch, longest):
+    monkeypatch.setattr(ngram_join, "_LIST", longest)
+    draw, having, of = random.Random(longest), {}, {}
+    for s in range(240):
+        n = draw.choice([(30, 34), (60, 66), (130, 150)][s // 3 % 3])
+        mine = draw.sample(range(60), draw.choice([1, 3, 4])) + [100 + 8 * (s // 3) + i for i in range(8) if draw.random() < 0.6]
+        having[s], of[s] = set(mine), (n, draw.choice([ngram_join._ANY] + [2 + n // 48] * 6))
+    given = [(k, of[s][0], s, of[s][1]) for s in having for k in having[s]]
+    got = connected_sets(frame(POSTINGS, given + given[::5]), having)  # copies that two tasks have read
+    enough = 0
+    for a, b in itertools.combinations(having, 2):
+        (n, x), (m, y) = of[a], of[b]
+        needed = min(x, y) if min(x, y) < ngram_join._ANY else 1
+        if 100 * min(n, m) >= 85 * max(n, m) and len(having[a] & having[b]) >= needed:
+            enough += 1
+            assert got[a] == got[b]
+    assert enough > 50
+
+
 def test_join_of_odd_rows(frame):
     same = "one two three four five six seven eight"
     docs = frame(
